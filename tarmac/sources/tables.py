@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tarmac.operators.latest import keep_earliest
 
@@ -84,3 +85,12 @@ def insert_only_merge(
 def rename_known(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename the columns that exist, in one projection."""
     return df.withColumnsRenamed(dict(names))
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns, order and types of the schema; fails where a column is missing."""
+    return df.to(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
