@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.plans.mapping import latest_exposure, renamed_exposure, with_policy_features
 from tarmac.sources.session import adaptive
 
 REWARD_MONTH = "202401"
@@ -118,6 +119,24 @@ class Testbed:
             c("asset").alias("ACTIVE_LOB_ASSET_ID"),
         )
 
+    def exposure(self) -> DataFrame:
+        """Exposure as the mapping stores it, as far as the rewards read it."""
+        latest = latest_exposure(with_policy_features(renamed_exposure(self.mi_exposure())))
+        return latest.select(
+            "policy_number",
+            F.col("lob_asset_id").alias("item_no"),
+            "imei_number",
+            "effective_year_month",
+            "policy_status",
+            "cover_status",
+            F.col("item_cancelled_date").alias("item_cancellation_date"),
+            F.col("cover_premium").alias("premium"),
+            "premium_collected",
+            "item_description",
+            F.col("item_no_raw").alias("original_lob_asset_id"),
+            run_ts().alias("inserted_timestamp"),
+        )
+
     def devices(self) -> DataFrame:
         """Device rows per policy and item."""
         installed = F.when(

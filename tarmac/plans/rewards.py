@@ -35,10 +35,18 @@ def client_months(cohort: DataFrame, trips: DataFrame, month: str) -> DataFrame:
     return cohort.join(sums, "sentiance_id", "left").join(flags, "sentiance_id", "left")
 
 
+def features_of_month(cohort: DataFrame, trips: DataFrame, month: str) -> DataFrame:
+    """Cohort rows with the month's features, null for clients without trips.
+
+    The sums are frozen: every later step reads them several times, and the
+    trips only once.
+    """
+    return features_from_sums(freeze(client_months(cohort, trips, month), "clients"))
+
+
 def scored_clients(cohort: DataFrame, trips: DataFrame, month: str) -> DataFrame:
-    """Clients with features and driving score; frozen, as the later steps read it often."""
-    members = freeze(client_months(cohort, trips, month), "clients")
-    features = freeze(features_from_sums(members), "features")
+    """Clients with features and driving score."""
+    features = features_of_month(cohort, trips, month)
     return driving_score(features, separation_weights(features))
 
 
