@@ -81,7 +81,12 @@ from tarmac.plans.cohort import (
     with_chosen_cancellation,
     with_device_user,
 )
-from tarmac.plans.rewards import build_rewards, features_of_month, scored_clients
+from tarmac.plans.rewards import (
+    build_rewards,
+    features_of_month,
+    frozen_ladder,
+    scored_clients,
+)
 from tarmac.schemas import DRIVER_KEYS, LATE_DRIVE, REWARD_KEYS, REWARDS_SCHEMA, TRIP_MEASURES
 from tarmac.sources.session import fresh_path
 from tarmac.sources.tables import empty_table, insert_only_merge
@@ -150,7 +155,7 @@ def nearest(tb: Testbed) -> DataFrame:
 
 def amounts(tb: Testbed) -> DataFrame:
     near = nearest(tb)
-    return with_cashback(near, cashback_ladder(score_groups(near)))
+    return with_cashback(near, frozen_ladder(near))
 
 
 def scaled(tb: Testbed) -> DataFrame:

@@ -13,79 +13,44 @@ ACCURACY = 10_000
 _BAND = 2.0 / ACCURACY
 
 
-def _pairs(columns: Sequence[str], shares: Sequence[float]) -> list[tuple[str, int, float]]:
-    return [(c, i, p) for c in columns for i, p in enumerate(shares)]
+def melted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row (component, value) per present value of the columns."""
+    pairs = ", ".join(f"struct('{c}' as component, cast({c} as double) as value)" for c in columns)
+    return df.select(F.expr(f"inline(array({pairs}))")).filter(F.col("value").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """One row: per column an array with its smallest values that reach each share.
+def exact_quantiles(values: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """Per component and share the smallest value that reaches the share.
 
     A mergeable sketch brackets every quantile. Only values inside the
-    brackets are then counted, one row per distinct value, and the rank
-    below the bracket tells where to stop. All three passes aggregate before
-    they shuffle. Reads ``df`` three times, so hand in a stored table.
+    brackets are then counted, one row per distinct value, on top of one
+    count of all values below. Both passes aggregate before they shuffle and
+    read ``values`` once each.
     """
-    pairs = _pairs(columns, shares)
     bounds = [x for p in shares for x in (max(0.0, p - _BAND), min(1.0, p + _BAND))]
-    sketch = df.agg(
-        F.struct(
-            *[
-                F.struct(
-                    F.count(c).alias("n"),
-                    F.percentile_approx(c, bounds, ACCURACY).alias("bounds"),
-                ).alias(c)
-                for c in columns
-            ]
-        )
+    sketch = values.groupBy("component").agg(
+        F.count("*").alias("n"), F.percentile_approx("value", bounds, ACCURACY).alias("bound")
     )
-
-    with_sketch = df.select(*columns).withColumn("_sketch", sketch.scalar())
-
-    def low(c, i):
-        return F.col("_sketch")[c]["bounds"][2 * i]
-
-    def high(c, i):
-        return F.col("_sketch")[c]["bounds"][2 * i + 1]
-
-    below = with_sketch.agg(
-        F.struct(
-            *[F.count_if(F.col(c) < low(c, i)).alias(f"{c}_{i}") for c, i, _ in pairs]
-        )
+    brackets = ", ".join(
+        f"struct({p}D as share, bound[{2 * i}] as low, bound[{2 * i + 1}] as high)"
+        for i, p in enumerate(shares)
     )
-    candidates = F.array(
-        *[
-            F.when(
-                F.col(c).between(low(c, i), high(c, i)),
-                F.struct(F.lit(f"{c}_{i}").alias("pair"), F.col(c).cast("double").alias("value")),
-            )
-            for c, i, _ in pairs
-        ]
+    bands = sketch.select("component", "n", F.expr(f"inline(array({brackets}))"))
+    # one row per component and share, so it is sent to every executor
+    beside = values.join(F.broadcast(bands), "component").filter(F.col("value") <= F.col("high"))
+    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
+    counted = beside.groupBy("component", "share", "n", inside.alias("value")).agg(
+        F.count("*").alias("copies")
     )
-    in_band = (
-        with_sketch.select(F.explode(F.array_compact(candidates)).alias("x"))
-        .groupBy("x.pair", "x.value")
-        .agg(F.count("*").alias("copies"))
+    upto = (
+        Window.partitionBy("component", "share")
+        .orderBy(F.col("value").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    upto = Window.partitionBy("pair").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        in_band.withColumn("_inside", F.sum("copies").over(upto))
-        .withColumn("_below", below.scalar())
-        .withColumn("_sketch", sketch.scalar())
-    )
-
-    def reaches(c, i, p):
-        rank = F.col("_below")[f"{c}_{i}"] + F.col("_inside")
-        enough = rank >= F.lit(float(p)) * F.col("_sketch")[c]["n"]
-        return (F.col("pair") == f"{c}_{i}") & enough
-
-    return ranked.agg(
-        *[
-            F.array(
-                *[
-                    F.min(F.when(reaches(c, i, p), F.col("value")))
-                    for i, p in enumerate(shares)
-                ]
-            ).alias(c)
-            for c in columns
-        ]
+    ranked = counted.withColumn("rank", F.sum("copies").over(upto))
+    reached = (F.col("rank") >= F.col("share") * F.col("n")) & F.col("value").isNotNull()
+    return (
+        ranked.filter(reached)
+        .groupBy("component", "share")
+        .agg(F.min("value").alias("quantile"))
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.numbers import EPSILON, stable
 from tarmac.operators.latest import first_value
-from tarmac.operators.quantiles import exact_quantiles
+from tarmac.operators.quantiles import exact_quantiles, melted
 from tarmac.schemas import POLICY_KEYS, SCORE_COMPONENTS
 
 LOW_SHARE, HIGH_SHARE = 0.20, 0.80
@@ -28,37 +28,31 @@ def separation_weights(
     A component weighs by how far its top and bottom fifth lie apart, in
     standard deviations. Equal weights when no component separates anything.
     """
-    rows = complete_rows(features, components)
-    fifths = exact_quantiles(rows, components, (LOW_SHARE, HIGH_SHARE))
-    marked = rows.select(*components).withColumn(
-        "_q", fifths.select(F.struct(*components)).scalar()
+    values = melted(complete_rows(features, components), components)
+    fifths = (
+        exact_quantiles(values, (LOW_SHARE, HIGH_SHARE))
+        .groupBy("component")
+        .agg(
+            F.min_by("quantile", "share").alias("low"),
+            F.max_by("quantile", "share").alias("high"),
+        )
     )
-    statistics = marked.agg(
-        *[
-            F.struct(
-                F.avg(F.when(F.col(c) >= F.col("_q")[c][1], F.col(c))).alias("top"),
-                F.avg(F.when(F.col(c) <= F.col("_q")[c][0], F.col(c))).alias("bottom"),
-                F.stddev_samp(c).alias("spread"),
-            ).alias(c)
-            for c in components
-        ]
+    # one row per component, so it is sent to every executor
+    beside = values.join(F.broadcast(fifths), "component")
+    zero = F.lit(0.0)
+    top = F.avg(F.when(F.col("value") >= F.col("high"), F.col("value")))
+    bottom = F.avg(F.when(F.col("value") <= F.col("low"), F.col("value")))
+    spread = F.greatest(F.coalesce(F.stddev_samp("value"), zero), F.lit(EPSILON))
+    separation = F.abs(F.coalesce(top, zero) - F.coalesce(bottom, zero)) / spread
+    raw = beside.groupBy("component").agg(separation.alias("raw"))
+    row = raw.agg(
+        F.sum("raw").alias("total"),
+        *[F.sum(F.when(F.col("component") == c, F.col("raw"))).alias(c) for c in components],
     )
-
-    def raw(c: str) -> Column:
-        zero = F.lit(0.0)
-        gap = F.coalesce(F.col(c)["top"], zero) - F.coalesce(F.col(c)["bottom"], zero)
-        return F.abs(gap) / F.greatest(F.coalesce(F.col(c)["spread"], zero), F.lit(EPSILON))
-
-    separated = statistics.select(*[raw(c).alias(c) for c in components])
-    total = F.lit(0.0)
-    for c in components:
-        total = total + F.col(c)
+    separated = F.coalesce("total", zero) > DEGENERATE_TOTAL
     equal = F.lit(1.0 / len(components))
-    return separated.select(
-        *[
-            F.when(total <= DEGENERATE_TOTAL, equal).otherwise(F.col(c) / total).alias(c)
-            for c in components
-        ]
+    return row.select(
+        *[F.when(separated, F.col(c) / F.col("total")).otherwise(equal).alias(c) for c in components]
     )
 
 
@@ -79,7 +73,7 @@ def driving_score(
 def score_summary(scored: DataFrame) -> DataFrame:
     """One row: least, mean, median, greatest and most frequent score."""
     present = scored.select("driving_score").dropna()
-    median = exact_quantiles(present, ["driving_score"], (0.5,))
+    median = exact_quantiles(melted(present, ["driving_score"]), (0.5,))
     frequency = present.groupBy("driving_score").agg(F.count("*").alias("n"))
     most_frequent = frequency.agg(
         F.max_by("driving_score", F.struct("n", (-F.col("driving_score")).alias("smallest")))
@@ -90,7 +84,7 @@ def score_summary(scored: DataFrame) -> DataFrame:
         F.max("driving_score").alias("max_score"),
     )
     return spread.withColumn(
-        "median_score", median.select(F.col("driving_score")[0]).scalar()
+        "median_score", median.select("quantile").scalar()
     ).withColumn("mode_score", most_frequent.scalar())
 
 

@@ -45,16 +45,21 @@ def features_of_month(cohort: DataFrame, trips: DataFrame, month: str) -> DataFr
 
 
 def scored_clients(cohort: DataFrame, trips: DataFrame, month: str) -> DataFrame:
-    """Clients with features and driving score."""
+    """Clients with features and driving score, frozen with the learned weights."""
     features = features_of_month(cohort, trips, month)
-    return driving_score(features, separation_weights(features))
+    return freeze(driving_score(features, separation_weights(features)), "scored")
+
+
+def frozen_ladder(with_center: DataFrame) -> DataFrame:
+    """The ladder of the groups: a thousand rows at most, read by three later steps."""
+    return freeze(cashback_ladder(score_groups(with_center)), "ladder")
 
 
 def with_results(clients: DataFrame, centers: DataFrame) -> DataFrame:
     """Scored clients with groups, percents, amounts and classes."""
     grouped = nearest_center(clients, centers)
     had_trips = F.col("trip_count").isNotNull()
-    ladder = cashback_ladder(score_groups(grouped.filter(had_trips)))
+    ladder = frozen_ladder(grouped.filter(had_trips))
     with_amounts = with_cashback(grouped, ladder)
     factor = scaling_factor(with_amounts).select("scaling_factor").scalar()
     reward_category = F.when(had_trips, HAD_TRIPS).otherwise(
@@ -92,7 +97,6 @@ def build_rewards(
     """
     clients = scored_clients(cohort, trips, month)
     if centers is None:
-        clients = freeze(clients, "scored")
         centers = freeze(score_centers(score_sample(clients), month), "centers")
     results = with_payout(with_billing_columns(with_results(clients, centers)))
     dated = with_cycle_number(with_cycle(results, month, calculated))
