@@ -134,7 +134,7 @@ def stored_cohort(tb: Testbed) -> DataFrame:
 
 
 def month_trips(tb: Testbed) -> DataFrame:
-    return cohort_trips(stored_cohort(tb), trips_of_month(tb.trips(), REWARD_MONTH))
+    return cohort_trips(cohort(tb), trips_of_month(tb.trips(), REWARD_MONTH))
 
 
 def had_trips(df: DataFrame) -> DataFrame:
@@ -290,12 +290,14 @@ from (select {DRIVER},
 where {" + ".join(f"{c}_nulls" for c in _NULLS)} > 0"""),
 )
 def driver_null_counts(tb):
-    return null_counts(month_trips(tb), DRIVER_KEYS, [*TRIP_MEASURES, LATE_DRIVE])
+    trips = trips_of_month(tb.trips(), REWARD_MONTH)
+    per_user = null_counts(trips, ["sentiance_id"], [*TRIP_MEASURES, LATE_DRIVE])
+    return cohort(tb).select(*DRIVER_KEYS).join(per_user, "sentiance_id")
 
 
 @query("trips_imputed", select(f"{DRIVER}, {TRIP_VALUES}", "imputed"))
 def trips_imputed(tb):
-    return fill_gaps(month_trips(tb))
+    return fill_gaps(stored_cohort(tb), trips_of_month(tb.trips(), REWARD_MONTH))
 
 
 @query("monthly_features", select(FEATURES, "features"))

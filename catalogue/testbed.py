@@ -30,6 +30,7 @@ class Testbed:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = adaptive(spark)
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
         self._frozen: dict[str, DataFrame] = {}
 
     def frozen(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -42,7 +43,9 @@ class Testbed:
         return self._frozen.get(name)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def spread(self, name: str, key: str) -> DataFrame:
         """A large table, dealt out when its scan leaves cores idle.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.dates import as_timestamp, in_month
@@ -34,22 +34,24 @@ def cohort_trips(cohort: DataFrame, month_trips: DataFrame) -> DataFrame:
     return cohort.join(month_trips, "sentiance_id", "inner")
 
 
-def fill_gaps(cohort_trip_rows: DataFrame, keys: Sequence[str] = DRIVER_KEYS) -> DataFrame:
-    """Every missing measure replaced: driver mean, else global mean, else 0.
+def fill_gaps(cohort: DataFrame, month_trips: DataFrame) -> DataFrame:
+    """One row per cohort member and trip, every missing measure replaced.
 
-    A missing late-drive flag counts as a late drive. The driver means are
-    aggregated before they shuffle and joined back, so that a driver with a
-    third of all trips can be split; a window over the driver could not.
+    A missing measure takes the driver's mean, else the mean over all rows,
+    else 0; a missing late-drive flag counts as a late drive. All means come
+    from sums per device user, and the gaps are filled before the cohort
+    multiplies the trips. The sums are joined back rather than windowed, so
+    that a user with a third of all trips can be split.
     """
-    means = cohort_trip_rows.groupBy(*keys).agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in TRIP_MEASURES]
-    )
-    overall = cohort_trip_rows.agg(F.struct(*[F.avg(c).alias(c) for c in TRIP_MEASURES]))
-    filled = cohort_trip_rows.join(means, list(keys), "left").withColumn(
-        "_overall", overall.scalar()
-    )
-    return filled.select(
-        *keys,
+    sums = driver_sums(month_trips)
+    overall = mean_over_cohort(cohort.join(sums, "sentiance_id", "inner"))
+    with_means = month_trips.join(
+        sums.select("sentiance_id", *[own_mean(c).alias(f"{c}_mean") for c in TRIP_MEASURES]),
+        "sentiance_id",
+        "left",
+    ).withColumn("_overall", overall.scalar())
+    filled = with_means.select(
+        "sentiance_id",
         *[
             F.coalesce(
                 F.col(c), F.col(f"{c}_mean"), F.col("_overall")[c], F.lit(0.0)
@@ -58,6 +60,9 @@ def fill_gaps(cohort_trip_rows: DataFrame, keys: Sequence[str] = DRIVER_KEYS) ->
         ],
         F.coalesce(F.col(LATE_DRIVE), F.lit(1)).alias(LATE_DRIVE),
     )
+    return cohort_trips(cohort.select(*DRIVER_KEYS), filled).select(
+        *DRIVER_KEYS, *TRIP_MEASURES, LATE_DRIVE
+    )
 
 
 def roll_up(filled_trips: DataFrame, keys: Sequence[str] = DRIVER_KEYS) -> DataFrame:
@@ -99,6 +104,18 @@ def driver_sums(month_trips: DataFrame) -> DataFrame:
     )
 
 
+def own_mean(measure: str) -> Column:
+    return F.try_divide(F.col(f"{measure}_sum"), F.col(f"{measure}_n"))
+
+
+def mean_over_cohort(members: DataFrame) -> DataFrame:
+    """One struct: mean of each measure over the trips of all cohort rows."""
+    means = [
+        F.try_divide(F.sum(f"{c}_sum"), F.sum(f"{c}_n")).alias(c) for c in TRIP_MEASURES
+    ]
+    return members.agg(F.struct(*means))
+
+
 def features_from_sums(members: DataFrame) -> DataFrame:
     """Monthly features of cohort rows that carry the sums of their user.
 
@@ -108,19 +125,10 @@ def features_from_sums(members: DataFrame) -> DataFrame:
     user's sums by the cohort rows that carry them. Rows without trips keep
     null features.
     """
-    overall = members.agg(
-        F.struct(
-            *[
-                F.try_divide(F.sum(f"{c}_sum"), F.sum(f"{c}_n")).alias(c)
-                for c in TRIP_MEASURES
-            ]
-        )
-    )
-    with_overall = members.withColumn("_overall", overall.scalar())
+    with_overall = members.withColumn("_overall", mean_over_cohort(members).scalar())
 
     def mean(c):
-        own = F.try_divide(F.col(f"{c}_sum"), F.col(f"{c}_n"))
-        return F.coalesce(own, F.col("_overall")[c], F.lit(0.0))
+        return F.coalesce(own_mean(c), F.col("_overall")[c], F.lit(0.0))
 
     def total(c):
         missing = F.col("trip_count") - F.col(f"{c}_n")
