@@ -142,23 +142,34 @@ def best_matches(resolved: DataFrame) -> DataFrame:
 
 
 def fallback_parameters(attempts: DataFrame, parameters: Mapping[str, str]) -> DataFrame:
-    """Parameters of each attempt: fewer after each refusal with status 400."""
-    earlier = (
-        Window.partitionBy("id")
-        .orderBy("attempt")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    """Parameters of each attempt: fewer after each refusal with status 400.
+
+    Only as many refusals as there are steps matter, so no id brings more
+    than those into one place, however long its log is.
+    """
     last = len(FALLBACK_STEPS) - 1
-    refused = F.coalesce(F.count_if(F.col("status") == 400).over(earlier), F.lit(0))
+    refusals = attempts.filter(F.col("status") == 400).select("id", "attempt").distinct()
+    place = F.row_number().over(Window.partitionBy("id").orderBy("attempt"))
+    first_refusals = (
+        refusals.withColumn("_place", place)
+        .filter(F.col("_place") <= last)
+        .groupBy("id")
+        .agg(F.collect_list("attempt").alias("_refused_at"))
+    )
+    earlier = F.filter("_refused_at", lambda refused: refused < F.col("attempt"))
     full = F.create_map(*[F.lit(x) for pair in sorted(parameters.items()) for x in pair])
     dropped = F.array(
         *[F.array(*[F.lit(name) for name in step]).cast("array<string>") for step in FALLBACK_STEPS]
     )
-    stepped = attempts.withColumn("fallback_step", F.least(refused, F.lit(last)).cast("int"))
     sent = F.map_filter(
         full, lambda name, _: ~F.array_contains(F.get(dropped, F.col("fallback_step")), name)
     )
-    return stepped.withColumn("parameters", F.to_json(sent))
+    return (
+        attempts.join(first_refusals, "id", "left")
+        .withColumn("fallback_step", F.coalesce(F.size(earlier), F.lit(0)))
+        .withColumn("parameters", F.to_json(sent))
+        .select(*attempts.columns, "fallback_step", "parameters")
+    )
 
 
 def request_items(geocoded: DataFrame, buffer_metres: int = DEFAULT_BUFFER_METRES) -> DataFrame:

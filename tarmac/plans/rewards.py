@@ -46,7 +46,7 @@ def features_of_month(cohort: DataFrame, trips: DataFrame, month: str) -> DataFr
 
 def scored_clients(cohort: DataFrame, trips: DataFrame, month: str) -> DataFrame:
     """Clients with features and driving score, frozen with the learned weights."""
-    features = features_of_month(cohort, trips, month)
+    features = freeze(features_of_month(cohort, trips, month), "features")
     return freeze(driving_score(features, separation_weights(features)), "scored")
 
 

@@ -40,12 +40,11 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     """Replace only the partitions that occur in ``df``.
 
     Rows are gathered by partition value first, so that each output folder
-    gets a few large files instead of one per task; the adaptive planner
-    splits a value that holds much more than the others.
+    gets a few large files instead of one per task; the rebalance splits a
+    value that holds much more than the others.
     """
     (
-        df.repartition(*partition_by)
-        .hint("rebalance", *partition_by)
+        df.hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
