@@ -1,6 +1,7 @@
 """Names of the checked queries, each with its SQL twin where it has one.
 
-``OPERATORS`` return their own types; ``QUERIES`` are the same in comparable form.
+``OPERATORS`` map a Testbed to the operator's own result; ``QUERIES`` return the
+same in comparable form.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from catalogue.testbed import Testbed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+OPERATORS: dict[str, Callable[[Testbed], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
@@ -22,8 +23,8 @@ def query(name: str, sql: str | None = None):
     """Register a function of a Testbed under a name."""
 
     def register(function: Callable[[Testbed], DataFrame]):
-        OPERATORS[name] = lambda spark, folder: function(Testbed(spark, folder))
-        QUERIES[name] = lambda spark, folder: plain(OPERATORS[name](spark, folder))
+        OPERATORS[name] = function
+        QUERIES[name] = lambda spark, folder: plain(function(Testbed(spark, folder)))
         if sql is not None:
             ORACLES[name] = sql
         return function

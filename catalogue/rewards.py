@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.registry import query
-from catalogue.sql import DRIVER, MEASURES, select, with_tables
+from catalogue.sql import DRIVER, FITTED, MEASURES, select, with_tables
 from catalogue.testbed import (
     FIXED_BANDWIDTH,
     FIXED_CENTERS,
@@ -88,7 +88,7 @@ from tarmac.plans.rewards import (
     scored_clients,
 )
 from tarmac.schemas import DRIVER_KEYS, LATE_DRIVE, REWARD_KEYS, REWARDS_SCHEMA, TRIP_MEASURES
-from tarmac.sources.session import fresh_path
+from tarmac.sources.session import freeze, fresh_path
 from tarmac.sources.tables import empty_table, insert_only_merge
 
 EXPOSURE = """policy_number, item_no, imei_number, effective_year_month, policy_status,
@@ -125,7 +125,10 @@ def all_months_chosen(tb: Testbed) -> DataFrame:
 
 
 def cohort(tb: Testbed) -> DataFrame:
-    return tb.known("cohort") or build_cohort(tb.exposure(), tb.user_imei(), REWARD_MONTH)
+    stored = tb.known("cohort")
+    if stored is not None:
+        return stored
+    return build_cohort(tb.exposure(), tb.user_imei(), REWARD_MONTH)
 
 
 def stored_cohort(tb: Testbed) -> DataFrame:
@@ -334,7 +337,7 @@ def feature_profile(tb):
     select("r:avg_hard_accel, r:avg_hard_brake, r:avg_legal, r:avg_overall_score, r:late_drive_ratio", "weights"),
 )
 def score_weights(tb):
-    return separation_weights(features_of_month(cohort(tb), tb.trips(), REWARD_MONTH))
+    return separation_weights(freeze(features(tb), "features"))
 
 
 @query("driving_score", select(SCORED, "scored"))
@@ -417,27 +420,11 @@ def dense_rank_of_clients(tb):
     return global_dense_rank(keyed, ["stable_key", "driving_score"])
 
 
-_BANDWIDTH = """
-pts as (select round(driving_score, 8) as v, row_number() over (order by stable_key) as id
-        from score_sample),
-far as (select a.id, abs(a.v - b.v) as gap,
-               row_number() over (partition by a.id order by abs(a.v - b.v)) as k
-        from pts a join pts b on true),
-bw as (select round(avg(gap), 8) as bandwidth from far
-       where k = greatest(1, cast(floor((select count(*) from pts) * 0.3) as bigint)))"""
-
-
-def _with_more(tables: str, text: str) -> str:
-    """A query over the shared tables and further ones defined after them."""
-    known = with_tables("select 1 from score_sample").removesuffix("\nselect 1 from score_sample")
-    return f"{known},{tables}\n{text}"
-
-
 @query(
     "score_bandwidth",
-    _with_more(
-        _BANDWIDTH,
-        "select '202401' as reward_month, round(bandwidth + 1e-8, 6) as bandwidth from bw",
+    with_tables(
+        "select '202401' as reward_month, round(bandwidth + 1e-8, 6) as bandwidth "
+        "from fit_bandwidth"
     ),
 )
 def score_bandwidth(tb):
@@ -445,7 +432,13 @@ def score_bandwidth(tb):
     return fitted.select("reward_month", "bandwidth").distinct()
 
 
-@query("score_centers")
+@query(
+    "score_centers",
+    with_tables("""
+select '202401' as reward_month, round(bandwidth + 1e-8, 6) as bandwidth, ms_cluster,
+       round(ms_center + 1e-8, 6) as ms_center
+from fit_centers cross join fit_bandwidth"""),
+)
 def centers_of_scores(tb):
     return score_centers(score_sample(scored(tb), "md5"), REWARD_MONTH)
 
@@ -729,9 +722,9 @@ def rewards_full(tb):
     return rewards(tb)
 
 
-@query("rewards_fitted")
+@query("rewards_fitted", select(REWARDS, _REWARDS, **FITTED))
 def rewards_fitted(tb):
-    return build_rewards(cohort(tb), tb.trips(), REWARD_MONTH, run_ts())
+    return build_rewards(cohort(tb), tb.trips(), REWARD_MONTH, run_ts(), sample_hash="md5")
 
 
 @query(

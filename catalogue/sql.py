@@ -307,6 +307,47 @@ TABLES["centers"] = """
 select * from (values (0, 0.33::double), (1, 0.59::double), (2, 0.71::double))
   as c(ms_cluster, ms_center)"""
 
+# the fit: neighbour distances by pairs, mean shift by recursion over all points
+TABLES["fit_points"] = """
+select round(driving_score, 8) as v, row_number() over (order by stable_key) as id
+from score_sample"""
+
+TABLES["fit_bandwidth"] = """
+with far as (
+  select abs(a.v - b.v) as gap,
+         row_number() over (partition by a.id order by abs(a.v - b.v)) as k
+  from fit_points a join fit_points b on true)
+select round(avg(gap), 8) as bandwidth from far
+where k = greatest(1, cast(floor((select count(*) from fit_points) * 0.3) as bigint))"""
+
+TABLES["fit_seeds"] = """
+select distinct round_even(v / bandwidth, 0) * bandwidth as seed
+from fit_points cross join fit_bandwidth"""
+
+TABLES["fit_shift"] = """
+select seed, seed as centre, 0 as step, 9.0::double as moved, 0 as inside from fit_seeds
+union all
+select s.seed, avg(v), s.step + 1, abs(avg(v) - s.centre), count(*)
+from fit_shift s cross join fit_bandwidth b join fit_points p on abs(v - centre) <= bandwidth
+where s.step <= 300 and s.moved > 1e-3 * bandwidth
+group by s.seed, s.centre, s.step"""
+
+TABLES["fit_resting"] = """
+select row_number() over (order by inside desc, centre desc) as place, centre
+from (select * from fit_shift where step > 0
+      qualify row_number() over (partition by seed order by step desc) = 1)"""
+
+TABLES["fit_kept"] = """
+select 0::bigint as place, []::double[] as kept
+union all
+select r.place, case when len(list_filter(k.kept, lambda x: abs(x - r.centre) <= bandwidth)) = 0
+                     then list_append(k.kept, r.centre) else k.kept end
+from fit_kept k join fit_resting r on r.place = k.place + 1 cross join fit_bandwidth"""
+
+TABLES["fit_centers"] = """
+select cast(row_number() over (order by c) - 1 as integer) as ms_cluster, c as ms_center
+from (select unnest(kept) as c from (select kept from fit_kept order by place desc limit 1))"""
+
 TABLES["nearest"] = f"""
 select m.*, 0.07::double as bandwidth, ms_cluster as nearest_ms_cluster,
        ms_center as nearest_ms_center, abs(driving_score - ms_center) as ms_center_gap
@@ -466,6 +507,12 @@ select id, 'POINT(' || cast(lon as varchar) || ' ' || cast(lat as varchar) || ')
          as wkt_geometry, 100 as buffer
 from geocoded where lat is not null and lon is not null"""
 
+# the same chain on fitted instead of given centres
+FITTED = {
+    "centers": "select * from fit_centers",
+    "nearest": TABLES["nearest"].replace("0.07::double", "(select bandwidth from fit_bandwidth)"),
+}
+
 SCORE_NAMES = [
     "river_flood_score_defended", "river_flood_score_undefended",
     "surface_water_flood_score_undefended", "overall_flood_score_defended",
@@ -512,20 +559,28 @@ from geocoded g join merged m on g.id = m.address_id
 where g.lat is not null and g.lon is not null"""
 
 
-def _needed(text: str, found: list[str]) -> list[str]:
-    for name, body in TABLES.items():
-        if name not in found and re.search(rf"\b(from|join|cross join)\s+{name}\b", text):
-            _needed(body, found)
+RECURSIVE = ("fit_shift", "fit_kept")
+
+
+def _needed(text: str, tables: dict[str, str], found: list[str], within: str = "") -> list[str]:
+    for name, body in tables.items():
+        if name != within and name not in found and re.search(rf"\b(from|join)\s+{name}\b", text):
+            _needed(body, tables, found, name)
             found.append(name)
     return found
 
 
-def with_tables(text: str) -> str:
-    names = _needed(text, [])
+def with_tables(text: str, **replaced: str) -> str:
+    """The query with the tables it needs; some of them may be replaced."""
+    tables = TABLES | replaced
+    names = _needed(text, tables, [])
     if not names:
         return text
-    clauses = ",\n".join(f"{n} as materialized ({TABLES[n].strip()})" for n in names)
-    return f"with {clauses}\n{text}"
+    clauses = ",\n".join(
+        f"{n} as {'' if n in RECURSIVE else 'materialized '}({tables[n].strip()})" for n in names
+    )
+    recursive = "recursive " if set(RECURSIVE) & set(names) else ""
+    return f"with {recursive}{clauses}\n{text}"
 
 
 FORMS = {
@@ -537,7 +592,7 @@ FORMS = {
 }
 
 
-def select(columns: str, source: str) -> str:
+def select(columns: str, source: str, **replaced: str) -> str:
     """SELECT with marked columns in the form the queries return them.
 
     r: rounded double, s: text, t: timestamp text, d: date text, i: integer.
@@ -547,4 +602,4 @@ def select(columns: str, source: str) -> str:
         mark, _, name = column.rpartition(":")
         name = f'"{name}"'
         parts.append(f"{FORMS[mark].format(name)} as {name}" if mark else name)
-    return with_tables(f"select {', '.join(parts)} from {source}")
+    return with_tables(f"select {', '.join(parts)} from {source}", **replaced)

@@ -88,6 +88,7 @@ def build_rewards(
     month: str,
     calculated: Column,
     centers: DataFrame | None = None,
+    sample_hash: str = "xxhash64",
 ) -> DataFrame:
     """Rows of the rewards table for one month.
 
@@ -97,7 +98,7 @@ def build_rewards(
     """
     clients = scored_clients(cohort, trips, month)
     if centers is None:
-        centers = freeze(score_centers(score_sample(clients), month), "centers")
+        centers = freeze(score_centers(score_sample(clients, sample_hash), month), "centers")
     results = with_payout(with_billing_columns(with_results(clients, centers)))
     dated = with_cycle_number(with_cycle(results, month, calculated))
     return conform(above_premium_floor(dated), REWARDS_SCHEMA)
