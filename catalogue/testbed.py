@@ -27,6 +27,8 @@ def run_ts() -> Column:
 class Testbed:
     """Domain tables of one scale factor."""
 
+    __test__ = False  # not a test class, whatever its name
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = adaptive(spark)
         self.folder = folder
