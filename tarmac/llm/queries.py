@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontamination, language, packing, quality, simhash
+from tarmac.llm import decontamination, language, packing, quality, simhash, warc
 from tarmac.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,31 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
     coalesce(n_hit, 0) > 0 as contaminated
 from doc_words left join hit using (r) left join items using (r)
 """
+
+
+@query
+def op2_warc_normalise(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(read(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLES["op2_warc_normalise"] = """
+with payloads as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+        sha1(coalesce(html, '')) as digest
+    from pages
+), numbered as (
+    select *, max(page_id) over (partition by digest) as newest from payloads
+), written as (
+    select *, list_aggregate(list_transform(range(0, 32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (((('0x' || substr(digest, 1 + 5 * (i // 4), 5))::bigint) >> (15 - 5 * (i % 4))) & 31)::int + 1,
+        1)), 'string_agg', '') as payload_digest
+    from numbered
+)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+    case when page_id = newest then 'response' else 'revisit' end as record_type,
+    case when page_id <> newest then newest end as refers_to
+from written
+"""
