@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontamination, language, packing, quality, simhash, warc, wrappers
+from tarmac.llm import decontamination, language, maxent, packing, quality, simhash, warc, wrappers
 from tarmac.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,8 @@ from written
 @query
 def op6_wrapper_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return wrappers.extract(read(spark, folder, "pages"))
+
+
+@query
+def op5_maxent_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score(read(spark, folder, "documents"))
