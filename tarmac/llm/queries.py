@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontamination, language, maxent, packing, quality, simhash, warc, wrappers
+from tarmac.llm import decontamination, language, maxent, neighbours, packing, quality, simhash, warc, wrappers
 from tarmac.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,38 @@ def op6_wrapper_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_maxent_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return maxent.score(read(spark, folder, "documents"))
+
+
+@query
+def op10_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_duplicates(read(spark, folder, "embeddings"))
+
+
+ORACLES["op10_nn_descent"] = """
+with recursive usable as (
+    select row_number() over () as r, vec_id, embedding::double[] as v
+    from embeddings
+    where embedding is not null and len(embedding) > 0 and list_count(embedding) = len(embedding)
+        and list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
+        and list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links as (
+    select a.r as a, b.r as b, a.vec_id as a_id, b.vec_id as b_id
+    from usable a join usable b on a.r <> b.r
+    where len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9
+), reached as (
+    select r, vec_id as least from usable
+    union
+    select links.b, reached.least from reached join links on links.a = reached.r
+), component as (
+    select r, min(least) as component_id from reached group by r
+), counted as (
+    select a as r, count(*) as n_links from links group by a
+)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from usable join component using (r) left join counted using (r)
+union all
+select vec_id, 0, vec_id, true from embeddings
+where embedding is null or len(embedding) = 0 or list_count(embedding) <> len(embedding)
+    or not list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
+    or not list_bool_or(list_transform(embedding, lambda x: x <> 0))
+"""
