@@ -8,8 +8,11 @@ of open bins the fullest closes first.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +26,26 @@ OPEN_BINS = 2048
 #: Pieces that one task packs. Each task leaves at most its open bins unfilled.
 TASK_PIECES = 250_000
 #: Words whose ids a worker remembers; beyond that it starts afresh.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 800_000
 
 PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
 
 
+#: Marks that end a word; the fitting tokenizers part them from letters.
+_MARKS = ".,;:!?%&*#$\")]|"
+#: Fixed value: the pattern by which the fitting tokenizers part texts.
+_PARTED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_JOINED = 4096
+
+
 class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit numbers.
 
     The tokenizers that fit part at white space before anything else, so the ids
-    of a text are those of its space-separated parts, one after the other. Ids of
-    parts seen before are remembered.
+    of a text are those of its space-separated parts, one after the other. Those
+    that also fold case and part letters from marks get words of letters in lower
+    case, many at a time; the end of each word shows in its last token. Ids of
+    words seen before are remembered.
     """
 
     def __init__(self, path: str):
@@ -41,22 +53,67 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        kind = json.loads(Path(path).read_text())
+        steps = (kind.get("normalizer") or {}).get("normalizers", [])
+        split = (kind.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        self.folds = (
+            any(s.get("type") == "Lowercase" for s in steps)
+            and split.get("pattern") == {"Regex": _PARTED}
+            and kind["model"].get("end_of_word_suffix") == "</w>"
+        )
+        words = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(words.values()) + 1, dtype=bool)
+        self.ends[[n for word, n in words.items() if word.endswith("</w>")]] = True
+
+    def _parted(self, part: str) -> tuple[str, str]:
+        """A word of letters in lower case and the marks after it, or the part as it is."""
+        word = part.rstrip(_MARKS)
+        # Lower-casing a capital sigma depends on its place; such words stay whole.
+        if self.folds and word.isalpha() and "\u03a3" not in word:
+            return word.lower(), part[len(word) :]
+        return part, ""
+
+    def _learn(self, words: list[str]) -> None:
+        if self.folds:
+            plain = [w for w in words if w.isalpha()]
+            for start in range(0, len(plain), _JOINED):
+                some = plain[start : start + _JOINED]
+                ids = self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids
+                ids = np.array(ids, dtype="<u4")
+                cuts = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+                if len(cuts) == len(some):
+                    raw, begin = ids.tobytes(), 0
+                    for word, end in zip(some, cuts.tolist(), strict=True):
+                        self.known[word] = raw[begin:end]
+                        begin = end
+            words = [w for w in words if w not in self.known]
+        for start in range(0, len(words), _JOINED):
+            some = words[start : start + _JOINED]
+            for word, found in zip(
+                some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True
+            ):
+                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        lists = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
-        new = list({w for words in parts for w in words if w not in known})
-        if len(known) + len(new) > KNOWN_WORDS:
+        if len(known) > KNOWN_WORDS:
             known.clear()
-            new = list({w for words in parts for w in words})
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for word, found in zip(
-                some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True
-            ):
-                known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in parts]
+        new: set[str] = set()
+        for parts in lists:
+            new.update(set(parts).difference(known))
+        pairs = [(part, *self._parted(part)) for part in new]
+        self._learn(list({w for _, *pair in pairs for w in pair if w not in known}))
+        for part, word, marks in pairs:
+            if part != word:
+                known[part] = known[word] + known[marks]
+        return [b"".join(map(known.__getitem__, parts)) for parts in lists]
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker."""
+    return Encoder(path)
 
 
 def _pieces(docs: DataFrame, path: str, length: int, separator: int, with_ids: bool) -> DataFrame:
@@ -64,11 +121,11 @@ def _pieces(docs: DataFrame, path: str, length: int, separator: int, with_ids: b
     end = np.array([separator], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        own = encoder(path)
         for batch in batches:
             keys, rows = [], []
             texts = [t or "" for t in batch["text"].to_pylist()]
-            for i, ids in enumerate(encoder.encode(texts)):
+            for i, ids in enumerate(own.encode(texts)):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     some = ids[at : at + 4 * length]
