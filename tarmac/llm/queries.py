@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontamination, language, maxent, neighbours, packing, quality, simhash, warc, wrappers
+from tarmac.llm import (
+    decontamination,
+    language,
+    licences,
+    maxent,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    warc,
+    wrappers,
+)
 from tarmac.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +179,8 @@ where embedding is null or len(embedding) = 0 or list_count(embedding) <> len(em
     or not list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
     or not list_bool_or(list_transform(embedding, lambda x: x <> 0))
 """
+
+
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.document_licences(read(spark, folder, "documents"))
