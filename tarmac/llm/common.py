@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogue.harness import with_shared_folder
 from tarmac.sources.session import adaptive, freeze
 
 #: Rows of one Arrow batch: bounds what a Python worker holds of long texts.
@@ -16,7 +17,7 @@ BATCH_ROWS = "1000"
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Adaptive planning, and Arrow batches that stay small for long texts."""
-    adaptive(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    adaptive(with_shared_folder(spark)).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark
 
 
