@@ -11,6 +11,7 @@ from catalogue.sql import DEPTH_COLUMNS, SCORE_NAMES, select, with_tables
 from catalogue.testbed import Testbed, run_ts
 from tarmac.operators.quality import require_columns
 from tarmac.operators.responses import (
+    batch_outcomes,
     best_candidates,
     enrich_partitions,
     fallback_parameters,
@@ -52,16 +53,17 @@ def geocoded(tb: Testbed) -> DataFrame:
 @query(
     "geo_attempts",
     with_tables("""
-select cast(id as varchar) as id, attempts, attempt as deciding_attempt, status, reason
-from (select *, count(*) over (partition by id) as attempts,
-             row_number() over (partition by id order by status = 200 desc,
-               case when status = 200 then attempt else -attempt end) as place
-      from attempts)
-where place = 1"""),
+select cast(id as varchar) as id, address, retry as deciding_retry, step as deciding_step,
+       status, reason
+from attempts
+qualify row_number() over (
+  partition by id, address
+  order by coalesce(status < 400, false) desc,
+           case when status < 400 then retry * 10 + step else -retry * 10 - step end) = 1"""),
 )
 def geo_attempts(tb):
     outcomes = final_outcomes(tb.geocode_log().withColumn("id", F.col("id").cast("string")))
-    return outcomes.drop("body")
+    return outcomes.drop("body", "asked")
 
 
 @query("geo_candidates", select(GEOCODE, "(select * from candidates where error is null)"))
@@ -86,19 +88,31 @@ def geo_full(tb):
 
 
 _FALLBACK = """
-select id, attempt, status, reason,
-       case when id % 8 = 4 then attempt - 1 else 0 end as fallback_step,
+select id, address, retry, step, status, reason,
+       cast(least(refused, 2) as integer) as fallback_step,
        '{"countrySet":"ZA"'
-         || case when id % 8 = 4 and attempt >= 3 then '' else ',"idxSet":"Geo,Addr"' end
-         || case when id % 8 = 4 and attempt >= 2 then '' else ',"language":"en-ZA"' end
+         || case when refused >= 2 then '' else ',"idxSet":"Geo,Addr"' end
+         || case when refused >= 1 then '' else ',"language":"en-ZA"' end
          || ',"limit":"5","maxFuzzyLevel":"2","minFuzzyLevel":"1","view":"Unified"}'
          as parameters
-from attempts"""
+from (
+  select *, coalesce(count(*) filter (status = 400) over (
+              partition by id, address, retry order by step
+              rows between unbounded preceding and 1 preceding), 0) as refused
+  from attempts)"""
 
 
 @query("geo_fallback_params", with_tables(_FALLBACK))
 def geo_fallback_params(tb):
-    return fallback_parameters(tb.geocode_log(), PARAMETERS).drop("address", "body")
+    return fallback_parameters(tb.geocode_log(), PARAMETERS).drop("body")
+
+
+@query(
+    "flood_attempts",
+    select("batch_id, answered, deciding_retry, status, body, error", "flood_attempts"),
+)
+def flood_attempts(tb):
+    return batch_outcomes(tb.flood_requests(), tb.flood_log(), ["batch_id"])
 
 
 @query("flood_request_items", select("id, wkt_geometry, buffer", "items"))
@@ -161,15 +175,24 @@ def flood_full(tb):
 @query(
     "enrich_partitions",
     with_tables("""
-select id, wkt_geometry, round(cast(id as bigint) * 7 % 100 / 100.0::double + 1e-8, 6) as answer
+select id, wkt_geometry,
+       case when id not like '%5' then round(cast(id as bigint) * 7 % 100 / 100.0::double + 1e-8, 6) end
+         as answer,
+       case when id like '%5' then 'no route' end as error
 from items"""),
 )
 def enriched_items(tb):
     def answers(batch: pd.DataFrame) -> pd.DataFrame:
-        """Stands in for a service: computed from the request alone."""
+        """Stands in for a service: computed from the request alone; some ids never get through."""
+        if batch["id"].str.endswith("5").any():
+            raise ConnectionError("no route")
         answer = batch["id"].astype("int64") * 7 % 100 / 100.0
         return batch[["id", "wkt_geometry"]].assign(answer=answer)
 
     return enrich_partitions(
-        request_items(geocoded(tb)), answers, "id string, wkt_geometry string, answer double"
+        request_items(geocoded(tb)),
+        answers,
+        "id string, wkt_geometry string, answer double, error string",
+        batch_size=1,
+        wait_seconds=0,
     )

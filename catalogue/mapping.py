@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from tarmac.sources.session import fresh_path
 from tarmac.sources.tables import (
     overwrite,
     overwrite_partitions,
+    overwrite_table,
     scan_all,
     scan_table,
 )
@@ -81,6 +84,19 @@ def sink_overwrite(tb):
     return tb.spark.read.parquet(path)
 
 
+@query(
+    "sink_catalog_table",
+    select("policy_number, item_no, t:inserted_datetime, imei_number, t:installation_datetime, row_id", "devices"),
+)
+def sink_catalog_table(tb):
+    """A catalog table replaced by one of another schema, in Spark's own catalog."""
+    name = f"devices_{uuid.uuid4().hex}"
+    path = fresh_path(tb.spark, "catalog")
+    overwrite_table(tb.user_imei(), name, comment="device rows", path=path)
+    overwrite_table(tb.devices(), name, comment="device rows", path=path)
+    return scan_table(tb.spark, name)
+
+
 @query(
     "sink_partition_overwrite",
     with_tables("""

@@ -428,7 +428,7 @@ def dense_rank_of_clients(tb):
     ),
 )
 def score_bandwidth(tb):
-    fitted = score_centers(score_sample(scored(tb), "md5"), REWARD_MONTH)
+    fitted = score_centers(scored(tb), REWARD_MONTH)
     return fitted.select("reward_month", "bandwidth").distinct()
 
 
@@ -440,7 +440,7 @@ select '202401' as reward_month, round(bandwidth + 1e-8, 6) as bandwidth, ms_clu
 from fit_centers cross join fit_bandwidth"""),
 )
 def centers_of_scores(tb):
-    return score_centers(score_sample(scored(tb), "md5"), REWARD_MONTH)
+    return score_centers(scored(tb), REWARD_MONTH)
 
 
 @query("nearest_center", select(f"{DRIVER}, r:driving_score, {NEAREST}", "nearest"))
@@ -724,7 +724,7 @@ def rewards_full(tb):
 
 @query("rewards_fitted", select(REWARDS, _REWARDS, **FITTED))
 def rewards_fitted(tb):
-    return build_rewards(cohort(tb), tb.trips(), REWARD_MONTH, run_ts(), sample_hash="md5")
+    return build_rewards(cohort(tb), tb.trips(), REWARD_MONTH, run_ts())
 
 
 @query(
@@ -745,14 +745,21 @@ def rewards_target_schema(tb):
     with_tables(f"""
 select {DRIVER}, cycle_number, reward_category,
        case when reward_category = 'Had Trips' then '2024-02-01' else '2024-02-03' end as loaded
-from {_REWARDS}"""),
+from {_REWARDS}
+union all
+select {DRIVER}, cycle_number - 1, reward_category, '2024-01-01' from {_REWARDS}"""),
 )
 def sink_insert_only_merge(tb):
-    """Clients with trips are in the table already; the merge adds the others."""
+    """Clients with trips are in the table already, and all of an earlier cycle; the
+    merge adds the others."""
     path = fresh_path(tb.spark, "merged")
     current = rewards(tb).select(*DRIVER_KEYS, "cycle_number", "reward_category")
     stored = current.filter(F.col("reward_category") == "Had Trips")
-    stored.withColumn("loaded", F.lit("2024-02-01")).write.parquet(path)
+    earlier = current.withColumn("cycle_number", F.col("cycle_number") - 1)
+    both = stored.withColumn("loaded", F.lit("2024-02-01")).union(
+        earlier.withColumn("loaded", F.lit("2024-01-01"))
+    )
+    both.write.partitionBy("cycle_number").parquet(path)
     source = current.withColumn("loaded", F.lit("2024-02-03"))
-    insert_only_merge(source, path, REWARD_KEYS)
+    insert_only_merge(source, path, REWARD_KEYS, partition_by="cycle_number")
     return tb.spark.read.schema(source.schema).parquet(path)

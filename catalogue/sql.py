@@ -141,8 +141,12 @@ select m.source_data, m.policy_version_number, m.policy_product_description,
        {RUN_TS} as inserted_timestamp
 from corrected t right join mi_latest m on t.item_no = m.lob_asset_id"""
 
-TABLES["exposure_from"] = """
-select * from mapping where effective_year_month >= '202401'"""
+TABLES["exposure_from"] = f"""
+select * exclude (inserted_timestamp),
+       {RUN_TS} + to_days(case
+         when cast(policy_number as integer) % 3 = 0 and effective_year_month = '202402' then -9
+         else cast(substr(effective_year_month, 5) as integer) % 3 end) as inserted_timestamp
+from mapping where effective_year_month >= '202401'"""
 
 TABLES["exposure_latest"] = """
 select * from exposure_from
@@ -163,20 +167,16 @@ select e.*, u.sentiance_id from exposure_from e join users u using (imei_number)
 
 
 def _cancel_date(source: str) -> str:
+    """Per device, policy and item the earliest month's row, its cancellation the least of all."""
     return f"""
-with picked as (
-  select * from {source}
-  qualify row_number() over (
-    partition by imei_number, policy_number, item_no
-    order by cast(effective_year_month as integer) nulls first, sentiance_id nulls first,
-             premium nulls first, original_lob_asset_id nulls first) = 1),
-dates as (
-  select imei_number, policy_number, item_no,
-         case when sum(case when item_cancellation_date is not null then 1 else 0 end) = 0
-              then null else min(item_cancellation_date) end as chosen
-  from {source} group by all)
-select p.* exclude (item_cancellation_date), d.chosen as item_cancellation_date
-from picked p left join dates d using (imei_number, policy_number, item_no)"""
+select * exclude (item_cancellation_date),
+       min(item_cancellation_date) over (partition by imei_number, policy_number, item_no)
+         as item_cancellation_date
+from {source}
+qualify row_number() over (
+  partition by imei_number, policy_number, item_no
+  order by cast(effective_year_month as integer) nulls first, sentiance_id nulls first,
+           premium nulls first, original_lob_asset_id nulls first) = 1"""
 
 
 TABLES["chosen"] = _cancel_date("exposure_users")
@@ -300,25 +300,26 @@ hashed as (
               / 4294967296.0::double as unit_hash
   from keyed)
 select stable_key, unit_hash, driving_score from hashed
-where driving_score is not null and unit_hash < 0.2
-order by stable_key, driving_score limit 100000"""
+where driving_score is not null and unit_hash < 0.2"""
 
 TABLES["centers"] = """
 select * from (values (0, 0.33::double), (1, 0.59::double), (2, 0.71::double))
   as c(ms_cluster, ms_center)"""
 
-# the fit: neighbour distances by pairs, mean shift by recursion over all points
+# the fit: cells of a histogram, neighbour distances by pairs of cells, mean shift by recursion
 TABLES["fit_points"] = """
-select round(driving_score, 8) as v, row_number() over (order by stable_key) as id
-from score_sample"""
+select round(sum(driving_score) / count(*), 8) as v, count(*) as n
+from monthly where driving_score is not null group by floor(driving_score / 1e-4::double)"""
 
 TABLES["fit_bandwidth"] = """
-with far as (
-  select abs(a.v - b.v) as gap,
-         row_number() over (partition by a.id order by abs(a.v - b.v)) as k
-  from fit_points a join fit_points b on true)
-select round(avg(gap), 8) as bandwidth from far
-where k = greatest(1, cast(floor((select count(*) from fit_points) * 0.3) as bigint))"""
+with all_of as (
+  select greatest(1, cast(floor(sum(n) * 0.3::double) as bigint)) as k from fit_points),
+far as (
+  select a.v, a.n, abs(a.v - b.v) as gap,
+         sum(b.n) over (partition by a.v order by abs(a.v - b.v)) as within
+  from fit_points a join fit_points b on true),
+reach as (select v, n, min(gap) as gap from far, all_of where within >= k group by v, n)
+select round(greatest(sum(gap * n) / sum(n), 1e-3::double), 8) as bandwidth from reach"""
 
 TABLES["fit_seeds"] = """
 select distinct round_even(v / bandwidth, 0) * bandwidth as seed
@@ -327,7 +328,7 @@ from fit_points cross join fit_bandwidth"""
 TABLES["fit_shift"] = """
 select seed, seed as centre, 0 as step, 9.0::double as moved, 0 as inside from fit_seeds
 union all
-select s.seed, avg(v), s.step + 1, abs(avg(v) - s.centre), count(*)
+select s.seed, sum(v * n) / sum(n), s.step + 1, abs(sum(v * n) / sum(n) - s.centre), sum(n)
 from fit_shift s cross join fit_bandwidth b join fit_points p on abs(v - centre) <= bandwidth
 where s.step <= 300 and s.moved > 1e-3 * bandwidth
 group by s.seed, s.centre, s.step"""
@@ -409,26 +410,23 @@ from everyone e left join scaled s using ({DRIVER})"""
 
 TABLES["no_trips"] = """
 with past as (
-  select sentiance_id, cast(cast(start_ts as timestamp) as date) as trip_date from trips),
-ever as (select distinct sentiance_id from past where trip_date < date '2024-01-01'),
-previous as (select distinct sentiance_id from past
-             where trip_date >= date '2023-12-01' and trip_date < date '2024-01-01'),
-before as (select distinct sentiance_id from past where trip_date < date '2023-12-01'),
-base as (select * from clients where no_trip_flag = 1),
+  select sentiance_id, max(cast(start_ts as timestamp)) as last_start from trips
+  where cast(start_ts as timestamp) < timestamp '2024-01-01' group by sentiance_id),
 classes as (
-  select b.*, 'Absolutely No Trip Ever' as reward_category, 0.0::double as percent
-  from base b where sentiance_id not in (select sentiance_id from ever)
-  union all
-  select b.*, 'Did Not Drive This Month (Device Working)', 0.4::double
-  from base b where sentiance_id in (select sentiance_id from previous)
-  union all
-  select b.*, 'Had Trips Then Stopped', 0.05::double
-  from base b where sentiance_id not in (select sentiance_id from previous)
-    and sentiance_id in (select sentiance_id from before))
+  select c.*, case when last_start is null then 'Absolutely No Trip Ever'
+                   when last_start >= timestamp '2023-12-01'
+                     then 'Did Not Drive This Month (Device Working)'
+                   else 'Had Trips Then Stopped' end as reward_category
+  from clients c left join past using (sentiance_id) where no_trip_flag = 1),
+percents as (
+  select *, case when reward_category like 'Did Not%' then 0.4::double
+                 when reward_category like 'Had%' then 0.05::double
+                 else 0.0::double end as percent
+  from classes)
 select * exclude (cashback_percent, cashback_amount, percent),
        percent as cashback_percent,
        cast(premium_collected as double) * percent as cashback_amount
-from classes"""
+from percents"""
 
 TABLES["union_results"] = """
 select *, 'Had Trips' as reward_category from clients where trip_count is not null
@@ -457,27 +455,39 @@ from paid"""
 TABLES["addresses"] = """
 select c_custkey as id,
        case when c_custkey % 50 = 0 then '' else c_name || ', ' || n_name end as address
-from customer join nation on c_nationkey = n_nationkey"""
+from customer join nation on c_nationkey = n_nationkey
+union all
+select c_custkey, '' from customer where c_custkey % 25 = 3
+union all
+select c_custkey, c_name || ', ' || n_name || ' (old)'
+from customer join nation on c_nationkey = n_nationkey where c_custkey % 25 = 7"""
+
+TABLES["requests"] = """
+select * from (values
+  (0, 1, 0, 200), (1, 1, 0, 200), (2, 1, 0, 200), (3, 1, 0, 429), (3, 2, 0, 200),
+  (4, 1, 0, 400), (4, 1, 1, 400), (4, 1, 2, 200), (5, 1, 0, 503), (5, 2, 0, 503),
+  (5, 3, 0, 503), (6, 1, 0, 429), (6, 2, 0, 429), (6, 3, 0, 429), (7, 1, 0, 503),
+  (7, 2, 0, 200), (8, 1, 0, 400), (8, 1, 1, 400), (8, 1, 2, 400), (8, 2, 0, 503),
+  (8, 3, 0, 400), (8, 3, 1, 200), (9, 1, 0, null), (9, 2, 0, null), (9, 3, 0, null),
+  (10, 1, 0, 503), (10, 2, 0, null), (10, 3, 0, 200), (11, 1, 0, 400), (11, 1, 1, 400),
+  (11, 1, 2, 400), (11, 2, 0, 400), (11, 2, 1, 400), (11, 2, 2, 400), (11, 3, 0, 400),
+  (11, 3, 1, 400), (11, 3, 2, 400)) as t(kind, retry, step, status)"""
 
 TABLES["attempts"] = """
-with lists as (
-  select *, case id % 8 when 3 then [429, 200] when 4 then [400, 400, 200]
-                 when 5 then [503, 503, 503] when 6 then [429, 429, 429]
-                 when 7 then [503, 200] else [200] end as statuses
-  from addresses where address <> ''),
-opened as (
-  select id, address, unnest(range(1, len(statuses) + 1)) as attempt, statuses from lists)
-select id, address, attempt, statuses[attempt] as status,
-       case statuses[attempt] when 200 then 'OK' when 400 then 'Bad Request'
-            when 429 then 'Too Many Requests' else 'Service Unavailable' end as reason
-from opened"""
+select id, address, retry, step, status,
+       case status when 200 then 'OK' when 400 then 'Bad Request' when 429 then 'Too Many Requests'
+            when 503 then 'Service Unavailable' else 'Connection refused' end as reason
+from addresses join requests on kind = id % 12 where address <> ''"""
 
 TABLES["resolved"] = """
-select cast(a.id as varchar) as id, a.address as "inputAddress", a.id as key,
+select distinct cast(a.id as varchar) as id, a.address as "inputAddress", a.id as key,
        case when a.address = '' then 'empty address'
-            when a.id % 8 = 6 then 'rate limited'
-            when a.id % 8 = 5
-              then '503 Service Unavailable: ' || substr('refused ' || a.id || ' ' || repeat('x', 320), 1, 300)
+            when a.id % 12 = 6 then 'rate limited'
+            when a.id % 12 = 9 then 'Connection refused'
+            when a.id % 12 = 5
+              then '503 Service Unavailable: refused ' || a.id || ' ' || repeat('x', 320)
+            when a.id % 12 = 11
+              then '400 Bad Request: refused ' || a.id || ' ' || repeat('x', 320)
             when a.id % 6 = 0 then 'no results' end as error
 from addresses a"""
 
@@ -500,7 +510,8 @@ select id, "inputAddress", 10.5::double - rank as score, rank as "scoreRank",
 from ranks"""
 
 TABLES["geocoded"] = f"""
-select *, {RUN_TS} as geocoded_at from candidates where coalesce("scoreRank", 1) = 1"""
+select *, {RUN_TS} as geocoded_at from candidates
+qualify row_number() over (partition by id order by "scoreRank" nulls last, "inputAddress") = 1"""
 
 TABLES["items"] = """
 select id, 'POINT(' || cast(lon as varchar) || ' ' || cast(lat as varchar) || ')'
@@ -518,6 +529,20 @@ SCORE_NAMES = [
     "surface_water_flood_score_undefended", "overall_flood_score_defended",
     "overall_flood_score_undefended", "floodability_defended", "floodability_undefended",
 ]
+TABLES["flood_attempts"] = """
+with batches as (select distinct c_custkey // 10 as batch_id from customer),
+kinds as (
+  select *, batch_id % 5 as kind, batch_id % 7 <> 6 as asked, count(*) over () as n from batches)
+select batch_id, asked and kind < 3 as answered,
+       case when not asked then null when kind = 0 then 1 when kind in (1, 4) then 2
+            when kind = 2 then 3 else 4 end as deciding_retry,
+       case when not asked or kind = 4 then null when kind = 3 then 500 else 200 end as status,
+       case when asked and kind < 3 then '[]' end as body,
+       case when not asked then 'no attempt'
+            when kind = 3 then '[batch ' || batch_id || '/' || n || '] 500 Down: try later'
+            when kind = 4 then '[batch ' || batch_id || '/' || n || '] Timed out' end as error
+from kinds"""
+
 TABLES["score_items"] = f"""
 select cast(c_custkey as varchar) as address_id, c_custkey // 10 as batch_id,
        {", ".join(f"cast(c_custkey * {i + 3} % 100 as double) as {n}" for i, n in enumerate(SCORE_NAMES))},

@@ -11,9 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogue.harness import with_shared_folder
 from tarmac.plans.mapping import latest_exposure, renamed_exposure, with_policy_features
 from tarmac.sources.session import adaptive, freeze
 
+# Logged requests of an address, by its id modulo 12: retry, step, status. Without
+# a status no answer came.
+GEOCODE_REQUESTS = [
+    [(1, 0, 200)],
+    [(1, 0, 200)],
+    [(1, 0, 200)],
+    [(1, 0, 429), (2, 0, 200)],
+    [(1, 0, 400), (1, 1, 400), (1, 2, 200)],
+    [(1, 0, 503), (2, 0, 503), (3, 0, 503)],
+    [(1, 0, 429), (2, 0, 429), (3, 0, 429)],
+    [(1, 0, 503), (2, 0, 200)],
+    [(1, 0, 400), (1, 1, 400), (1, 2, 400), (2, 0, 503), (3, 0, 400), (3, 1, 200)],
+    [(1, 0, None), (2, 0, None), (3, 0, None)],
+    [(1, 0, 503), (2, 0, None), (3, 0, 200)],
+    [(retry, step, 400) for retry in (1, 2, 3) for step in (0, 1, 2)],
+]
 REWARD_MONTH = "202401"
 RUN_TS = "2024-02-03 06:00:00"
 FIXED_CENTERS = [0.33, 0.59, 0.71]
@@ -30,7 +47,7 @@ class Testbed:
     __test__ = False  # not a test class, whatever its name
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = adaptive(spark)
+        self.spark = adaptive(with_shared_folder(spark))
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
         self._frozen: dict[str, DataFrame] = {}
@@ -49,20 +66,8 @@ class Testbed:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def spread(self, name: str, key: str) -> DataFrame:
-        """A large table, dealt out when its scan leaves cores idle.
-
-        The small test files hold one row group, which a single task would
-        read and process to the end. A table of many files stays as scanned.
-        """
-        table = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        if table.rdd.getNumPartitions() < cores:
-            return table.repartition(cores, key)
-        return table
-
     def insured_lines(self) -> DataFrame:
-        lines = self.spread("lineitem", "l_orderkey").join(
+        lines = self.table("lineitem").join(
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         )
         return lines.withColumn("policy", F.col("o_custkey").cast("string")).withColumn(
@@ -163,7 +168,7 @@ class Testbed:
             "premium_collected",
             "item_description",
             F.col("item_no_raw").alias("original_lob_asset_id"),
-            run_ts().alias("inserted_timestamp"),
+            F.timestamp_add("DAY", loaded_days(), run_ts()).alias("inserted_timestamp"),
         )
 
     def devices(self) -> DataFrame:
@@ -185,7 +190,7 @@ class Testbed:
 
     def user_imei(self) -> DataFrame:
         """Retrievals of device users."""
-        return self.spread("events", "event_id").select(
+        return self.table("events").select(
             F.col("user_id").cast("string").alias("imei_number"),
             F.col("ts").alias("retrieved_datetime"),
             user_text().alias("sentiance_id"),
@@ -222,7 +227,7 @@ class Testbed:
             ("late_drive", late),
         ]
         written = "yyyy-MM-dd HH:mm:ss"
-        return self.spread("events", "event_id").select(
+        return self.table("events").select(
             user_text().alias("sentiance_id"),
             F.date_format(start, written).alias("start_ts"),
             F.date_format(end, written).alias("end_ts"),
@@ -233,37 +238,38 @@ class Testbed:
         )
 
     def addresses(self) -> DataFrame:
+        """Addresses; some ids come a second time, empty or with an older address."""
         named = self.table("customer").join(
             self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         )
-        address = F.when(F.col("c_custkey") % 50 == 0, "").otherwise(
-            F.concat_ws(", ", "c_name", "n_name")
+        key, whole = F.col("c_custkey"), F.concat_ws(", ", "c_name", "n_name")
+        first = F.when(key % 50 == 0, "").otherwise(whole)
+        more = (
+            F.when(key % 25 == 3, F.array(first, F.lit("")))
+            .when(key % 25 == 7, F.array(first, F.concat(whole, F.lit(" (old)"))))
+            .otherwise(F.array(first))
         )
-        return named.select(F.col("c_custkey").alias("id"), address.alias("address"))
+        return named.select(key.alias("id"), F.explode(more).alias("address"))
 
     def geocode_log(self) -> DataFrame:
-        """Attempts per address: status, reason and response body."""
-        statuses = {
-            0: [200], 1: [200], 2: [200], 3: [429, 200], 4: [400, 400, 200],
-            5: [503, 503, 503], 6: [429, 429, 429], 7: [503, 200],
-        }
+        """Requests per address: retry and step, status, reason and response body."""
         lists = F.array(
-            *[F.array(*[F.lit(s) for s in statuses[k]]) for k in sorted(statuses)]
-        )
+            *[
+                F.array(*[F.struct(F.lit(r), F.lit(s), F.lit(status)) for r, s, status in requests])
+                for requests in GEOCODE_REQUESTS
+            ]
+        ).cast("array<array<struct<retry:int,step:int,status:int>>>")
         key = F.col("id")
         tried = (
             self.addresses()
             .filter(F.col("address") != "")
-            .select(
-                "id",
-                "address",
-                F.posexplode(F.get(lists, (key % 8).cast("int"))).alias("pos", "status"),
-            )
+            .select("id", "address", F.inline(F.get(lists, (key % 12).cast("int"))))
         )
         reason = (
             F.when(F.col("status") == 200, "OK")
             .when(F.col("status") == 400, "Bad Request")
             .when(F.col("status") == 429, "Too Many Requests")
+            .when(F.col("status").isNull(), "Connection refused")
             .otherwise("Service Unavailable")
         )
         count = (key % 6).cast("int")
@@ -300,10 +306,13 @@ class Testbed:
         return tried.select(
             "id",
             "address",
-            (F.col("pos") + 1).alias("attempt"),
+            "retry",
+            "step",
             "status",
             reason.alias("reason"),
-            F.when(F.col("status") == 200, found).otherwise(refused).alias("body"),
+            F.when(F.col("status") == 200, found)
+            .when(F.col("status").isNotNull(), refused)
+            .alias("body"),
         )
 
     def _flood_items(self, delivered: Column, item: Column) -> DataFrame:
@@ -330,6 +339,33 @@ class Testbed:
             ).alias("body")
         )
 
+    def flood_requests(self) -> DataFrame:
+        """The request batches that flood answers belong to."""
+        return self.table("customer").select(F.floor(F.col("c_custkey") / 10).alias("batch_id")).distinct()
+
+    def flood_log(self) -> DataFrame:
+        """Logged requests of each batch; batches in seven have none."""
+        lists = F.array(
+            F.array(F.lit(200)),
+            F.array(F.lit(503), F.lit(200)),
+            F.array(F.lit(429), F.lit(None).cast("int"), F.lit(200)),
+            F.array(F.lit(503), F.lit(503), F.lit(503), F.lit(500)),
+            F.array(F.lit(None).cast("int"), F.lit(None).cast("int")),
+        )
+        batch, status = F.col("batch_id"), F.col("status")
+        return (
+            self.flood_requests()
+            .filter(batch % 7 != 6)
+            .select("batch_id", F.posexplode(F.get(lists, (batch % 5).cast("int"))).alias("pos", "status"))
+            .select(
+                "batch_id",
+                (F.col("pos") + 1).alias("retry"),
+                "status",
+                F.when(status == 200, "OK").when(status.isNull(), "Timed out").otherwise("Down").alias("reason"),
+                F.when(status == 200, "[]").when(status.isNotNull(), "try later").alias("body"),
+            )
+        )
+
     def flood_scores(self) -> DataFrame:
         key = F.col("c_custkey")
         names = [
@@ -383,7 +419,7 @@ class Testbed:
 
 DERIVED = (
     "mi_exposure", "exposure", "devices", "user_imei", "trips",
-    "addresses", "geocode_log", "flood_scores", "flood_depths",
+    "addresses", "geocode_log", "flood_requests", "flood_log", "flood_scores", "flood_depths",
 )
 
 
@@ -400,6 +436,13 @@ def stored_tables(tb: Testbed) -> dict[str, DataFrame]:
     return {name: freeze(getattr(tb, name)(), name) for name in DERIVED}
 
 
+def loaded_days() -> Column:
+    """Loads lie days apart; for some policies a later month was loaded first."""
+    month = F.col("effective_year_month").cast("int") % 100
+    early = (F.col("policy_number").cast("int") % 3 == 0) & (month == 2)
+    return F.when(early, -9).otherwise(month % 3).cast("int")
+
+
 def device_of(customer: Column) -> Column:
     """Ten customers share a device; one in eight has a device without users."""
     unknown = F.concat(F.lit("x"), customer.cast("string"))

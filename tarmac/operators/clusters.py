@@ -1,8 +1,8 @@
-"""Score groups: sample, bandwidth, centres, nearest centre, group ranges.
+"""Score groups: sample, histogram, bandwidth, centres, nearest centre, group ranges.
 
-Sampling, ordering and every pass over the drivers run as DataFrame jobs. The
-fit itself sees one month's sample, which the rule caps at 100 000 scores, as
-one row per distinct score.
+The fit reads every scored client, as a histogram: one row per occupied cell of
+a fixed width. Its size depends on that width and the range of the scores, never
+on the number of clients, so the fit of a month is one small group.
 """
 
 from __future__ import annotations
@@ -18,15 +18,17 @@ from pyspark.sql import functions as F
 from tarmac.functions.numbers import stable_key, unit_hash
 
 # Fixed values of the fit.
+HALVINGS = 60
 SAMPLE_SHARE = 0.20
-MAX_SAMPLE = 100_000
 SCORE_PLACES = 8
 NEIGHBOUR_SHARE = 0.30
-MAX_BANDWIDTH_POINTS = 5_000
-BANDWIDTH_SEED = 42
-SMALLEST_FALLBACK_BANDWIDTH = 1e-3
 MAX_STEPS = 300
 STOP_SHARE_OF_BANDWIDTH = 1e-3
+#: Width of a histogram cell. Scores of one cell count as their mean, so the
+#: bandwidth and the centres are exact to about this width.
+CELL = 1e-4
+#: No bandwidth is smaller, so groups number at most the score range over this.
+SMALLEST_BANDWIDTH = 1e-3
 
 KEY_PARTS = ("policy_number", "item_no", "imei_number", "sentiance_id")
 
@@ -41,63 +43,72 @@ def with_stable_key(scored: DataFrame) -> DataFrame:
 
 
 def score_sample(
-    scored: DataFrame, method: str = "xxhash64", share: float = SAMPLE_SHARE, cap: int = MAX_SAMPLE
+    scored: DataFrame, method: str = "xxhash64", share: float = SAMPLE_SHARE
 ) -> DataFrame:
-    """The same fifth of the scored rows on every run, in key order, capped."""
+    """The same share of the scored rows on every run, chosen by the hash of their key."""
     keyed = with_stable_key(scored).filter(F.col("driving_score").isNotNull())
     return (
         keyed.withColumn("unit_hash", unit_hash(F.col("stable_key"), method))
         .filter(F.col("unit_hash") < share)
         .select("stable_key", "unit_hash", "driving_score")
-        .orderBy("stable_key", "driving_score")
-        .limit(cap)
     )
 
 
-def neighbour_bandwidth(scores: np.ndarray) -> float:
+def score_histogram(scored: DataFrame, month: str, cell: float = CELL) -> DataFrame:
+    """Occupied cells of the month's scores: reward_month, value (their mean), clients."""
+    score = F.col("driving_score").cast("double")
+    return (
+        scored.filter(score.isNotNull())
+        .groupBy(F.floor(score / cell).alias("cell"))
+        .agg(F.sum(score).alias("total"), F.count("*").alias("clients"))
+        .select(
+            F.lit(month).alias("reward_month"),
+            F.round(F.col("total") / F.col("clients"), SCORE_PLACES).alias("value"),
+            "clients",
+        )
+    )
+
+
+def neighbour_bandwidth(values: np.ndarray, weights: np.ndarray) -> float:
     """Mean distance to the 30%-nearest neighbour; normal-scale rule if that is 0.
 
-    ``scores`` are in key order; above 5000 of them a seeded draw is used.
+    Each value stands for as many clients as its weight. The reach of a value is
+    the least distance within which that many clients lie, itself included.
     """
-    count = len(scores)
-    draw = np.random.RandomState(BANDWIDTH_SEED).permutation(count)
-    points = np.sort(scores[draw[:MAX_BANDWIDTH_POINTS]])
-    n = len(points)
-    k = max(int(n * NEIGHBOUR_SHARE), 1)
-    # the k nearest (the point itself included) form a window of the sorted
-    # points; the best of the k windows that hold point i has the least reach
-    reach = np.full(n, np.inf)
-    here = np.arange(n)
-    for left in range(k):
-        start = here - left
-        end = start + k - 1
-        fits = (start >= 0) & (end < n)
-        i, s, e = here[fits], start[fits], end[fits]
-        reach[i] = np.minimum(reach[i], np.maximum(points[i] - points[s], points[e] - points[i]))
-    bandwidth = float(reach.mean())
+    order = np.argsort(values)
+    x, w = values[order], weights[order].astype(float)
+    before = np.concatenate([[0.0], np.cumsum(w)])
+    count = before[-1]
+    k = max(int(count * NEIGHBOUR_SHARE), 1)
+    low, reach = np.full(len(x), -1.0), np.full(len(x), x[-1] - x[0])
+    for _ in range(HALVINGS):
+        middle = (low + reach) / 2
+        last = np.searchsorted(x, x + middle, "right")
+        enough = before[last] - before[np.searchsorted(x, x - middle, "left")] >= k
+        reach, low = np.where(enough, middle, reach), np.where(enough, low, middle)
+    reach = np.maximum(reach, 0.0)
+    bandwidth = float((reach * w).sum() / count)
     if bandwidth <= 0:
-        spread = float(np.std(scores, ddof=1)) if count > 1 else 0.0
-        bandwidth = max(1.06 * spread * count ** (-0.2), SMALLEST_FALLBACK_BANDWIDTH)
-    return float(np.round(bandwidth, SCORE_PLACES))
+        mean = (x * w).sum() / count
+        spread = np.sqrt((w * (x - mean) ** 2).sum() / (count - 1)) if count > 1 else 0.0
+        bandwidth = 1.06 * spread * count ** (-0.2)
+    return float(np.round(max(bandwidth, SMALLEST_BANDWIDTH), SCORE_PLACES))
 
 
 def mean_shift(values: np.ndarray, weights: np.ndarray, bandwidth: float) -> list[float]:
     """Flat-kernel mean shift in one dimension on weighted values, ascending centres.
 
     Seeds are the occupied cells of a grid as wide as the bandwidth. Each
-    moves to the mean of the points in reach until it rests. Of resting
-    places within one bandwidth of each other the one with more points in
-    reach stays, then the greater one.
+    moves to the mean of the points in reach until it rests; one that does not
+    rest stops the fit. Of resting places within one bandwidth of each other
+    the one with more points in reach stays, then the greater one.
     """
     order = np.argsort(values)
     x, w = values[order], weights[order].astype(float)
     weight_before = np.concatenate([[0.0], np.cumsum(w)])
     sum_before = np.concatenate([[0.0], np.cumsum(w * x)])
-    cells = np.unique(np.round(x / bandwidth))
-    seeds = x if len(cells) == w.sum() else cells * bandwidth
     resting = {}
-    for centre in seeds.tolist():
-        inside = 0.0
+    for centre in (np.unique(np.round(x / bandwidth)) * bandwidth).tolist():
         for _ in range(MAX_STEPS + 1):
             lo = np.searchsorted(x, centre - bandwidth, "left")
             hi = np.searchsorted(x, centre + bandwidth, "right")
@@ -107,9 +118,10 @@ def mean_shift(values: np.ndarray, weights: np.ndarray, bandwidth: float) -> lis
             moved = float((sum_before[hi] - sum_before[lo]) / inside)
             step, centre = abs(moved - centre), moved
             if step <= STOP_SHARE_OF_BANDWIDTH * bandwidth:
+                resting[centre] = inside
                 break
-        if inside:
-            resting[centre] = inside
+        else:
+            raise RuntimeError(f"a centre near {centre} does not rest after {MAX_STEPS} steps")
     kept: list[float] = []
     for centre, _ in sorted(resting.items(), key=lambda c: (c[1], c[0]), reverse=True):
         if all(abs(centre - other) > bandwidth for other in kept):
@@ -117,12 +129,10 @@ def mean_shift(values: np.ndarray, weights: np.ndarray, bandwidth: float) -> lis
     return sorted(kept)
 
 
-def fit_month(month: str, sample: pd.DataFrame) -> pd.DataFrame:
-    scores = sample.sort_values(["stable_key", "driving_score"])["driving_score"]
-    values = scores.round(SCORE_PLACES).to_numpy()
-    bandwidth = neighbour_bandwidth(values)
-    distinct, copies = np.unique(values, return_counts=True)
-    centres = mean_shift(distinct, copies, bandwidth)
+def fit_month(month: str, histogram: pd.DataFrame) -> pd.DataFrame:
+    values, clients = histogram["value"].to_numpy(), histogram["clients"].to_numpy()
+    bandwidth = neighbour_bandwidth(values, clients)
+    centres = mean_shift(values, clients, bandwidth)
     return pd.DataFrame(
         {
             "reward_month": month,
@@ -136,13 +146,10 @@ def fit_month(month: str, sample: pd.DataFrame) -> pd.DataFrame:
 CENTERS_SCHEMA = "reward_month string, bandwidth double, ms_cluster int, ms_center double"
 
 
-def score_centers(sample: DataFrame, month: str) -> DataFrame:
-    """Bandwidth and group centres of the month's sample, ascending.
-
-    Months are groups of their own, each at most as large as the sample cap.
-    """
+def score_centers(scored: DataFrame, month: str, cell: float = CELL) -> DataFrame:
+    """Bandwidth and group centres of all of the month's scores, ascending."""
     return (
-        sample.withColumn("reward_month", F.lit(month))
+        score_histogram(scored, month, cell)
         .groupBy("reward_month")
         .applyInPandas(lambda key, pdf: fit_month(key[0], pdf), CENTERS_SCHEMA)
     )
@@ -157,8 +164,8 @@ def fixed_centers(df: DataFrame, month: str, bandwidth: float, centers: list[flo
 def nearest_center(scored: DataFrame, centers: DataFrame) -> DataFrame:
     """Nearest centre, distance and number of each score; the smaller centre on ties.
 
-    The centres travel as one array: they lie more than a bandwidth apart
-    within [0, 1], so there are at most a thousand.
+    The centres travel as one array: fitted ones lie at least the smallest
+    bandwidth apart, so their number is bounded by the score range.
     """
     listed = centers.dropna(subset=["ms_cluster", "ms_center"]).agg(
         F.struct(
@@ -188,7 +195,7 @@ def nearest_center(scored: DataFrame, centers: DataFrame) -> DataFrame:
 
 
 def score_groups(with_center: DataFrame) -> DataFrame:
-    """One row per group: its score range and size. At most a thousand rows."""
+    """One row per group: its score range and size."""
     return with_center.groupBy("nearest_ms_cluster", "nearest_ms_center").agg(
         F.min("driving_score").alias("min_ms_center"),
         F.max("driving_score").alias("max_ms_center"),
@@ -200,10 +207,10 @@ def with_group_values(with_center: DataFrame, groups: DataFrame) -> DataFrame:
     """Values of the group table beside every row.
 
     Aggregated and sent back instead of a window per group, which would put
-    all drivers of a group into one task. The table is bounded by the number
-    of centres, so it is sent to every executor.
+    all drivers of a group into one task. The planner picks the join by the
+    measured size of the table.
     """
     values = groups.drop("nearest_ms_center").withColumnRenamed("nearest_ms_cluster", "_cluster")
     return with_center.join(
-        F.broadcast(values), F.col("nearest_ms_cluster").eqNullSafe(F.col("_cluster")), "left"
+        values, F.col("nearest_ms_cluster").eqNullSafe(F.col("_cluster")), "left"
     ).drop("_cluster")

@@ -7,26 +7,37 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.sources.session import freeze
 
-def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left join on a key that may be hot on both sides.
-
-    A left outer join can only be split on its left side. Written as matches
-    plus non-matches, both parts can be split: the inner join on either side,
-    the anti join on the left, its right side holding each key once.
-    """
-    matched = left.join(right, F.col(left_key) == F.col(right_key), "inner")
-    known = right.select(F.col(right_key).alias("_known_key")).distinct()
-    unmatched = left.join(known, F.col(left_key) == F.col("_known_key"), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+#: Buckets that the right rows of one key are dealt to.
+BUCKETS = 32
 
 
-def members_of(df: DataFrame, members: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(members.select(*on).distinct(), list(on), "left_semi")
+def left_join_many(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, buckets: int = BUCKETS
+) -> DataFrame:
+    """Left join on a key that may be hot on both sides, reading the left side once.
 
-
-def not_members_of(df: DataFrame, members: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(members.select(*on).distinct(), list(on), "left_anti")
+    The right rows of a key are dealt to buckets by their hash. A left row goes
+    to the buckets that its key has, never more often than it has partners. Both
+    joins can be split on their left side. A left row whose key has no bucket
+    stays without a partner.
+    """
+    dealt = right.withColumn("_bucket", F.pmod(F.xxhash64(*right.columns), F.lit(buckets)))
+    # stored, so that the planner can split the join with it: one row per key
+    there = freeze(
+        dealt.filter(F.col(right_key).isNotNull())
+        .groupBy(F.col(right_key).alias("_there"))
+        .agg(F.collect_set("_bucket").alias("_buckets")),
+        "buckets",
+    )
+    sent = (
+        left.join(there, F.col(left_key) == F.col("_there"), "left")
+        .withColumn("_sent", F.explode_outer("_buckets"))
+        .drop("_there", "_buckets")
+    )
+    same = (F.col(left_key) == F.col(right_key)) & (F.col("_sent") == F.col("_bucket"))
+    return sent.join(dealt, same, "left").drop("_sent", "_bucket")
 
 
 def in_order(df: DataFrame, preferred: Sequence[str]) -> DataFrame:

@@ -7,7 +7,8 @@ user brings.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+import time
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -28,61 +29,86 @@ from tarmac.schemas import (
 
 # Fixed values of the request rules.
 MAX_ATTEMPTS = 3
-GEOCODE_ERROR_TEXT, FLOOD_ERROR_TEXT = 300, 500
-EMPTY_ADDRESS, NO_RESULTS, RATE_LIMITED, NO_ATTEMPT = (
+EMPTY_ADDRESS, NO_RESULTS, RATE_LIMITED, NO_ATTEMPT, NO_ANSWER = (
     "empty address",
     "no results",
     "rate limited",
     "no attempt",
+    "no answer",
 )
+# A log row is one request: the retry it belongs to, and within a retry the step,
+# which counts the requests with fewer parameters. status is null, and reason the
+# error's text, where no answer came.
+LOG_KEY, LOG_ORDER = ("id", "address"), ("retry", "step")
 # Parameters left out at each step after a request was refused with 400.
 FALLBACK_STEPS = ((), ("language",), ("language", "idxSet"))
 ITEMS_PER_BATCH, BATCHES_PER_WAVE = 10, 100
 COUNTRY_CODE = "ZA"
 
 
+def succeeded() -> Column:
+    """An answer below 400; a request that never got a status has failed."""
+    return F.coalesce(F.col("status") < 400, F.lit(False))
+
+
 def final_outcomes(
-    attempts: DataFrame, key: str = "id", max_attempts: int = MAX_ATTEMPTS
+    attempts: DataFrame, key: Sequence[str] = LOG_KEY, order: Sequence[str] = LOG_ORDER
 ) -> DataFrame:
-    """What the attempts of each id came to: the first success, else the last failure."""
-    success = F.col("status") == 200
-    preference = F.struct(
-        success.alias("success"),
-        F.when(success, -F.col("attempt")).otherwise(F.col("attempt")).alias("place"),
-    )
-    outcome = F.struct("attempt", "status", "reason", "body")
+    """What the logged requests of each key came to: the first success, else the last failure.
+
+    The log may hold any number of requests. Each map task sends one request of
+    a key at most.
+    """
+    success = succeeded()
+    places = [F.when(success, F.col(c)).otherwise(-F.col(c)) for c in order]
+    window = Window.partitionBy(*key).orderBy(success.desc(), *places)
     return (
-        attempts.filter(F.col("attempt") <= max_attempts)
-        .groupBy(key)
-        .agg(F.max_by(outcome, preference).alias("outcome"), F.count("*").alias("attempts"))
-        .select(key, "attempts", "outcome.*")
-        .withColumnRenamed("attempt", "deciding_attempt")
+        attempts.withColumn("_place", F.row_number().over(window))
+        .filter(F.col("_place") == 1)
+        .select(
+            *key,
+            *[F.col(c).alias(f"deciding_{c}") for c in order],
+            "status",
+            "reason",
+            "body",
+            F.lit(True).alias("asked"),
+        )
     )
 
 
-def failure_text(max_text: int = GEOCODE_ERROR_TEXT) -> Column:
-    """Reason of a failed outcome, null for a success."""
-    status = F.col("status")
-    text = F.substring(F.coalesce(F.col("body"), F.lit("")), 1, max_text)
-    return F.when(status == 429, RATE_LIMITED).when(
-        status >= 400,
-        F.concat(status.cast("string"), F.lit(" "), F.col("reason"), F.lit(": "), text),
+def failure_text(max_text: int | None = None) -> Column:
+    """Reason of a failed outcome, null for a success; bodies whole unless cut by ``max_text``."""
+    status, text = F.col("status"), F.coalesce(F.col("body"), F.lit(""))
+    if max_text is not None:
+        text = F.substring(text, 1, max_text)
+    return (
+        F.when(status.isNull(), F.coalesce(F.col("reason"), F.lit(NO_ANSWER)))
+        .when(status == 429, RATE_LIMITED)
+        .when(
+            status >= 400,
+            F.concat(
+                status.cast("string"), F.lit(" "), F.coalesce("reason", F.lit("")), F.lit(": "), text
+            ),
+        )
     )
 
 
-def resolved_addresses(addresses: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Every address with its outcome and, where it has none, the reason why."""
+def resolved_addresses(
+    addresses: DataFrame, attempts: DataFrame, max_text: int | None = None
+) -> DataFrame:
+    """Every address of every id with its outcome and, where it has none, the reason why."""
     source = addresses.select(
         F.col("id").cast("string").alias("id"), F.col("address").alias("inputAddress")
-    )
+    ).distinct()
     outcomes = final_outcomes(attempts.withColumn("id", F.col("id").cast("string")))
     empty = F.coalesce(F.col("inputAddress"), F.lit("")) == ""
     reason = (
         F.when(empty, EMPTY_ADDRESS)
-        .when(F.col("status").isNull(), NO_ATTEMPT)
-        .otherwise(failure_text())
+        .when(F.col("asked").isNull(), NO_ATTEMPT)
+        .otherwise(failure_text(max_text))
     )
-    return source.join(outcomes, "id", "left").withColumn("error", reason)
+    found = outcomes.withColumnRenamed("address", "inputAddress")
+    return source.join(found, ["id", "inputAddress"], "left").withColumn("error", reason)
 
 
 def _results(body: Column) -> Column:
@@ -129,34 +155,36 @@ def best_candidates(candidates: DataFrame) -> DataFrame:
 
 
 def best_matches(resolved: DataFrame) -> DataFrame:
-    """Best candidate of each resolved address, without opening the others.
+    """Best candidate of each id, without opening the others.
 
-    Ranks count from the first candidate, so the first is the best: the rows
-    need neither be multiplied nor ranked. The ids must be distinct.
+    Ranks count from the first candidate, so the first is the best of its
+    address: the rows need not be multiplied. Of an id's addresses the one with
+    a match goes first.
     """
     first = F.get(F.when(F.col("error").isNull(), _results(F.col("body"))), F.lit(0))
     opened = resolved.select("id", "inputAddress", "error", first.alias("candidate"))
     reason = F.coalesce("error", F.when(F.col("candidate").isNull(), NO_RESULTS))
     rank = F.when(F.col("candidate").isNotNull(), F.lit(1))
-    return opened.select(*_candidate_fields(F.col("candidate"), rank, reason))
+    return best_candidates(opened.select(*_candidate_fields(F.col("candidate"), rank, reason)))
 
 
 def fallback_parameters(attempts: DataFrame, parameters: Mapping[str, str]) -> DataFrame:
-    """Parameters of each attempt: fewer after each refusal with status 400.
+    """Parameters of each logged request: fewer after each refusal with status 400.
 
-    Only as many refusals as there are steps matter, so no id brings more
-    than those into one place, however long its log is.
+    Every retry starts from all parameters again. Only as many refusals as there
+    are steps matter, so no retry brings more than those into one place.
     """
     last = len(FALLBACK_STEPS) - 1
-    refusals = attempts.filter(F.col("status") == 400).select("id", "attempt").distinct()
-    place = F.row_number().over(Window.partitionBy("id").orderBy("attempt"))
+    of_retry = ["id", "address", "retry"]
+    refusals = attempts.filter(F.col("status") == 400).select(*of_retry, "step").distinct()
+    place = F.row_number().over(Window.partitionBy(*of_retry).orderBy("step"))
     first_refusals = (
         refusals.withColumn("_place", place)
         .filter(F.col("_place") <= last)
-        .groupBy("id")
-        .agg(F.collect_list("attempt").alias("_refused_at"))
+        .groupBy(*of_retry)
+        .agg(F.collect_list("step").alias("_refused_at"))
     )
-    earlier = F.filter("_refused_at", lambda refused: refused < F.col("attempt"))
+    earlier = F.filter("_refused_at", lambda refused: refused < F.col("step"))
     full = F.create_map(*[F.lit(x) for pair in sorted(parameters.items()) for x in pair])
     dropped = F.array(
         *[F.array(*[F.lit(name) for name in step]).cast("array<string>") for step in FALLBACK_STEPS]
@@ -165,7 +193,7 @@ def fallback_parameters(attempts: DataFrame, parameters: Mapping[str, str]) -> D
         full, lambda name, _: ~F.array_contains(F.get(dropped, F.col("fallback_step")), name)
     )
     return (
-        attempts.join(first_refusals, "id", "left")
+        attempts.join(first_refusals, of_retry, "left")
         .withColumn("fallback_step", F.coalesce(F.size(earlier), F.lit(0)))
         .withColumn("parameters", F.to_json(sent))
         .select(*attempts.columns, "fallback_step", "parameters")
@@ -248,22 +276,59 @@ def first_per_address(items: DataFrame) -> DataFrame:
     )
 
 
-def merge_depths_and_scores(depths: DataFrame, scores: DataFrame) -> DataFrame:
-    """Addresses with both answers; when one side is empty, the other alone.
+def merge_depths_and_scores(
+    depths: DataFrame, scores: DataFrame, when_one_side_empty: str = "nothing"
+) -> DataFrame:
+    """Addresses with both answers, first answers only.
 
     Repeated answers are reduced before the join, which keeps the same row as
-    joining all pairs and keeping the first.
+    joining all pairs and keeping the first. ``when_one_side_empty="other"``
+    returns the other side alone if a whole side holds no answer at all; one
+    stray answer there is enough to leave addresses without it out.
     """
-    d = first_per_address(depths).withColumn("_has_depths", F.lit(True))
-    s = first_per_address(scores).withColumn("_has_scores", F.lit(True))
+    if when_one_side_empty not in ("nothing", "other"):
+        raise ValueError("when_one_side_empty is 'nothing' or 'other'")
+    d, s = first_per_address(depths), first_per_address(scores)
+    both = d.join(s, "address_id")
+    if when_one_side_empty == "nothing":
+        return both
     no_depths = depths.limit(1).agg(F.count("*") == 0).scalar()
     no_scores = scores.limit(1).agg(F.count("*") == 0).scalar()
-    joined = d.join(s, "address_id", "full").withColumns(
-        {"_no_depths": no_depths, "_no_scores": no_scores}
+    return both.unionByName(d.filter(no_scores), allowMissingColumns=True).unionByName(
+        s.filter(no_depths), allowMissingColumns=True
     )
-    both = F.col("_has_depths") & F.col("_has_scores")
-    return joined.filter(both | F.col("_no_depths") | F.col("_no_scores")).drop(
-        "_has_depths", "_has_scores", "_no_depths", "_no_scores"
+
+
+def batch_outcomes(
+    requests: DataFrame, log: DataFrame, key: Sequence[str] = ("wave", "batch"),
+    max_text: int | None = None,
+) -> DataFrame:
+    """Every request batch with what its logged requests came to.
+
+    Key columns, answered, deciding_retry, status, body (of the answer) and error:
+    ``[batch i/n] status reason: text`` where the batch failed for good, the
+    reason alone where no answer came, ``no attempt`` where none is logged.
+    Batches are told apart by their key, and n is the number of them.
+    """
+    names = list(key)
+    asked = requests.select(*names).distinct()
+    outcomes = final_outcomes(log, names, ["retry"])
+    total = asked.agg(F.count("*").cast("string")).scalar()
+    place = F.concat(
+        F.lit("[batch "), F.concat_ws(".", *[F.col(c).cast("string") for c in names]),
+        F.lit("/"), total, F.lit("] "),
+    )
+    answered = succeeded()
+    error = F.when(F.col("asked").isNull(), NO_ATTEMPT).when(
+        ~answered, F.concat(place, failure_text(max_text))
+    )
+    return asked.join(outcomes, names, "left").select(
+        *names,
+        answered.alias("answered"),
+        "deciding_retry",
+        "status",
+        F.when(answered, F.col("body")).alias("body"),
+        error.alias("error"),
     )
 
 
@@ -273,19 +338,34 @@ def enrich_partitions(
     schema: T.StructType | str,
     batch_size: int = ITEMS_PER_BATCH,
     max_attempts: int = MAX_ATTEMPTS,
+    retryable: Callable[[Exception], bool] = lambda error: isinstance(error, OSError),
+    wait_seconds: float = 0.75,
+    error_column: str = "error",
 ) -> DataFrame:
     """Rows answered by a function of the caller, ten at a time, on the executors.
 
-    A batch that fails is asked again, up to three times; then the job fails.
+    A batch that fails with a retryable error (by default those of transport) is
+    asked again after a wait that grows with each try. One that keeps failing
+    gives its rows with the columns they came with, and the error's text in
+    ``error_column``, which the schema must name. Any other error ends the job.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    names = schema.names
+    if error_column not in names:
+        raise ValueError(f"the schema has no column {error_column}")
 
     def answer(batch: pd.DataFrame) -> pd.DataFrame:
         for attempt in range(1, max_attempts + 1):
             try:
-                return fetch(batch)
-            except Exception:
-                if attempt == max_attempts:
+                return fetch(batch).assign(**{error_column: None})[names]
+            except Exception as error:
+                if not retryable(error):
                     raise
+                if attempt == max_attempts:
+                    kept = {c: batch[c] if c in batch else None for c in names}
+                    return pd.DataFrame({**kept, error_column: str(error)}, index=batch.index)
+                time.sleep(wait_seconds * attempt)
         raise AssertionError("unreachable")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.dates import as_timestamp, in_month
+from tarmac.functions.dates import as_timestamp, in_month, month_start
 from tarmac.functions.numbers import share_of, stable
 from tarmac.schemas import DRIVER_KEYS, LATE_DRIVE, TRIP_MEASURES
 
@@ -65,22 +65,6 @@ def fill_gaps(cohort: DataFrame, month_trips: DataFrame) -> DataFrame:
     )
 
 
-def roll_up(filled_trips: DataFrame, keys: Sequence[str] = DRIVER_KEYS) -> DataFrame:
-    """Monthly features of each driver from trips without gaps."""
-    grouped = filled_trips.groupBy(*keys).agg(
-        F.avg("hard_accel").alias("avg_hard_accel"),
-        F.avg("hard_brake").alias("avg_hard_brake"),
-        F.avg("legal").alias("avg_legal"),
-        F.avg("overall_score").alias("avg_overall_score"),
-        F.max(LATE_DRIVE).alias("any_late_drive"),
-        F.sum("distance").alias("total_distance"),
-        F.sum("trip_duration").alias("total_trip_duration"),
-        F.sum("late_drive_duration").alias("total_late_drive_duration"),
-        F.count("*").alias("trip_count"),
-    )
-    return with_late_ratio(grouped)
-
-
 def with_late_ratio(features: DataFrame) -> DataFrame:
     averages = ["avg_hard_accel", "avg_hard_brake", "avg_legal", "avg_overall_score"]
     ratio = share_of(F.col("total_late_drive_duration"), F.col("total_trip_duration"))
@@ -104,6 +88,39 @@ def driver_sums(month_trips: DataFrame) -> DataFrame:
     )
 
 
+def month_and_history(trips: DataFrame, month: str) -> DataFrame:
+    """Per device user, in one pass over the trips: the month's sums as ``driver_sums``
+    gives them, null without a trip of the month, and whether the user drove in the
+    previous month or before it, null without an earlier trip.
+
+    Trips that start after the month are cut off in the scan where the times are
+    stored as timestamps; text has to be read to be compared.
+    """
+    timed = trips.withColumn("_start", as_timestamp(trips, "start_ts")).withColumn(
+        "_end", as_timestamp(trips, "end_ts")
+    )
+    start, own = F.col("_start"), in_month(F.col("_start"), month) & in_month(F.col("_end"), month)
+    past, previous = start < month_start(month), start >= month_start(month, -1)
+    mine = {c: F.when(F.col("_own"), F.col(c)) for c in TRIP_MEASURES}
+    late = F.when(F.col("_own"), F.coalesce(F.col(LATE_DRIVE), F.lit(1)))
+    found = (
+        timed.filter(start < month_start(month, 1))
+        .withColumn("_own", F.coalesce(own, F.lit(False)))
+        .groupBy("sentiance_id")
+        .agg(
+            F.count_if("_own").alias("_trips"),
+            F.max(late).alias("any_late_drive"),
+            *[F.sum(m).alias(f"{c}_sum") for c, m in mine.items()],
+            *[F.count(m).alias(f"{c}_n") for c, m in mine.items()],
+            F.max(F.when(past, previous)).alias("drove_previous_month"),
+            F.max(F.when(past, ~previous)).alias("drove_before"),
+        )
+    )
+    drove = F.col("_trips") > 0
+    counts = {f"{c}_n": F.when(drove, F.col(f"{c}_n")) for c in TRIP_MEASURES}
+    return found.withColumns({"trip_count": F.when(drove, F.col("_trips"))} | counts).drop("_trips")
+
+
 def own_mean(measure: str) -> Column:
     return F.try_divide(F.col(f"{measure}_sum"), F.col(f"{measure}_n"))
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.dates import maturation_date, month_end
 from tarmac.functions.policy import year_month
 from tarmac.operators.latest import earliest_with_minimum, keep_latest
-from tarmac.operators.quality import distinct_counts
+from tarmac.operators.quality import assert_unique, distinct_counts
 from tarmac.schemas import POLICY_KEYS
 
 ACTIVE_STATUS = "Policy"
@@ -24,10 +25,19 @@ EARLIEST_ORDER = ("effective_year_month_int", "sentiance_id", "premium", "origin
 
 
 def from_month(exposure: DataFrame, month: str) -> DataFrame:
-    """Exposure rows of the month or later."""
+    """Exposure rows of the month or later; both spellings of a month are read.
+
+    The guard compares the stored text itself, so it prunes partitions and row
+    groups. ``-`` sorts before digits: it lets both spellings of every wanted
+    month through, and the exact test follows.
+    """
+    plain = month.replace("-", "")
+    guard = F.col("effective_year_month") >= F.lit(f"{plain[:4]}-{plain[4:]}")
+    if isinstance(exposure.schema["effective_year_month"].dataType, T.StringType):
+        exposure = exposure.filter(guard)
     return exposure.withColumn(
         "effective_year_month", year_month(F.col("effective_year_month"))
-    ).filter(F.col("effective_year_month") >= F.lit(month))
+    ).filter(F.col("effective_year_month") >= F.lit(plain))
 
 
 def latest_exposure_rows(exposure: DataFrame) -> DataFrame:
@@ -72,9 +82,18 @@ def active_cover(exposure: DataFrame, month: str) -> DataFrame:
     return dated.filter(in_force & lasts)
 
 
-def build_cohort(exposure: DataFrame, user_imei: DataFrame, month: str) -> DataFrame:
+def build_cohort(
+    exposure: DataFrame, user_imei: DataFrame, month: str, check_unique: bool = False
+) -> DataFrame:
+    """Vehicles in force until the cycle matures, one row per device, policy and item.
+
+    ``check_unique`` counts the keys and stops on a repeated one, at the cost of
+    another run of the plan; the rows are unique by construction.
+    """
     latest = latest_exposure_rows(from_month(exposure, month))
     chosen = with_chosen_cancellation(with_device_user(latest, user_imei))
+    if check_unique:
+        assert_unique(chosen, POLICY_KEYS)
     return active_cover(chosen, month)
 
 

@@ -13,13 +13,19 @@ from tarmac.operators.responses import (
 
 
 def build_flood_risk(
-    geocoded: DataFrame, depth_responses: DataFrame, score_responses: DataFrame, run_ts: Column
+    geocoded: DataFrame,
+    depth_responses: DataFrame,
+    score_responses: DataFrame,
+    run_ts: Column,
+    when_one_side_empty: str = "nothing",
 ) -> DataFrame:
     """Addresses with coordinates and an answer, the answer flattened beside them."""
     located = geocoded.dropna(subset=["lat", "lon"]).withColumn(
         "id", F.col("id").cast("string")
     )
-    merged = merge_depths_and_scores(flat_depths(depth_responses), flat_scores(score_responses))
+    merged = merge_depths_and_scores(
+        flat_depths(depth_responses), flat_scores(score_responses), when_one_side_empty
+    )
     return (
         located.withColumnRenamed("id", "address_id")
         .join(merged, "address_id", "inner")

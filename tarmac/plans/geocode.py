@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from tarmac.operators.latest import keep_earliest
 from tarmac.operators.quality import require_columns
 from tarmac.operators.responses import best_matches, resolved_addresses
 
@@ -13,5 +11,4 @@ from tarmac.operators.responses import best_matches, resolved_addresses
 def build_geocoded(addresses: DataFrame, attempts: DataFrame, run_ts: Column) -> DataFrame:
     """One row per id: the best candidate, or the reason why there is none."""
     require_columns(addresses, ["id", "address"], "address_source")
-    one_each = keep_earliest(addresses.select("id", "address"), ["id"], ["address"])
-    return best_matches(resolved_addresses(one_each, attempts)).withColumn("geocoded_at", run_ts)
+    return best_matches(resolved_addresses(addresses, attempts)).withColumn("geocoded_at", run_ts)

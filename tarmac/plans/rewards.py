@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.cashback import cashback_ladder, scaling_factor, with_cashback
-from tarmac.operators.clusters import nearest_center, score_centers, score_groups, score_sample
-from tarmac.operators.notrip import HAD_TRIPS, category, category_percent, past_trip_flags
+from tarmac.operators.clusters import nearest_center, score_centers, score_groups
+from tarmac.operators.notrip import HAD_TRIPS, category, category_percent
 from tarmac.operators.payout import (
     above_premium_floor,
     with_billing_columns,
@@ -16,7 +16,7 @@ from tarmac.operators.payout import (
     with_payout,
 )
 from tarmac.operators.scoring import driving_score, separation_weights
-from tarmac.operators.trips import driver_sums, features_from_sums, trips_of_month
+from tarmac.operators.trips import features_from_sums, month_and_history
 from tarmac.schemas import REWARDS_SCHEMA
 from tarmac.sources.session import freeze
 from tarmac.sources.tables import conform
@@ -27,12 +27,10 @@ OF_CLIENTS_WITH_TRIPS = ("bandwidth", "earning_borderline_driving_score", "no_dr
 def client_months(cohort: DataFrame, trips: DataFrame, month: str) -> DataFrame:
     """Cohort rows with their user's trip sums of the month and past-trip flags.
 
-    Both sides of the trips are aggregated per user first and meet the cohort
-    on the same key, so the trips themselves are never joined.
+    The trips are read once and aggregated per user before they meet the cohort,
+    so the trips themselves are never joined.
     """
-    sums = driver_sums(trips_of_month(trips, month))
-    flags = past_trip_flags(trips, month)
-    return cohort.join(sums, "sentiance_id", "left").join(flags, "sentiance_id", "left")
+    return cohort.join(month_and_history(trips, month), "sentiance_id", "left")
 
 
 def features_of_month(cohort: DataFrame, trips: DataFrame, month: str) -> DataFrame:
@@ -46,12 +44,12 @@ def features_of_month(cohort: DataFrame, trips: DataFrame, month: str) -> DataFr
 
 def scored_clients(cohort: DataFrame, trips: DataFrame, month: str) -> DataFrame:
     """Clients with features and driving score, frozen with the learned weights."""
-    features = freeze(features_of_month(cohort, trips, month), "features")
+    features = features_of_month(cohort, trips, month)
     return freeze(driving_score(features, separation_weights(features)), "scored")
 
 
 def frozen_ladder(with_center: DataFrame) -> DataFrame:
-    """The ladder of the groups: a thousand rows at most, read by three later steps."""
+    """The ladder of the groups: one row per group, read by three later steps."""
     return freeze(cashback_ladder(score_groups(with_center)), "ladder")
 
 
@@ -88,17 +86,15 @@ def build_rewards(
     month: str,
     calculated: Column,
     centers: DataFrame | None = None,
-    sample_hash: str = "xxhash64",
 ) -> DataFrame:
     """Rows of the rewards table for one month.
 
-    Without ``centers`` the groups are fitted to a sample of the month's
-    scores. Every client is one row from the cohort on, so the result needs
+    Without ``centers`` the groups are fitted to all of the month's scores. Every client is one row from the cohort on, so the result needs
     no join back to premiums, exposure or the clients without trips.
     """
     clients = scored_clients(cohort, trips, month)
     if centers is None:
-        centers = freeze(score_centers(score_sample(clients, sample_hash), month), "centers")
+        centers = freeze(score_centers(clients, month), "centers")
     results = with_payout(with_billing_columns(with_results(clients, centers)))
     dated = with_cycle_number(with_cycle(results, month, calculated))
     return conform(above_premium_floor(dated), REWARDS_SCHEMA)

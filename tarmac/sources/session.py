@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,9 @@ ADAPTIVE = {
 }
 
 
+_SCOPES: list[list[str]] = []
+
+
 def adaptive(spark: SparkSession) -> SparkSession:
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
@@ -26,22 +30,36 @@ def adaptive(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as named in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder all executors share: that of ``spark.checkpoint.dir``, else that of
+    the context's ``setCheckpointDir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tarmac-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/tarmac/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tarmac/{label}-{uuid.uuid4().hex}"
+    for paths in _SCOPES:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the own copies that were made inside when the block ends.
+
+    Write the result to a table of its own before that: its plan reads them.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.operators.latest import keep_earliest
@@ -52,20 +53,36 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
-def overwrite_table(df: DataFrame, name: str, comment: str | None = None) -> None:
+def overwrite_table(
+    df: DataFrame, name: str, comment: str | None = None, path: str | None = None
+) -> None:
+    """Replace a catalog table, schema included; ``path`` keeps its files in that folder."""
     writer = df.write.mode("overwrite").option("overwriteSchema", "true")
+    if path:
+        writer = writer.option("path", path)
     if comment:
         writer = writer.option("comment", comment)
     writer.saveAsTable(quoted(name))
 
 
 def rows_to_insert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    within: str | None = None,
 ) -> DataFrame:
     """Source rows whose key the target lacks, one row per key.
 
-    ``order`` decides which of several source rows with one key is taken.
+    ``order`` decides which of several source rows with one key is taken. Only the
+    part of the target is read whose ``within``, one of the keys, lies in the range
+    of the source; a target partitioned by it is pruned.
     """
+    if within is not None:
+        if within not in keys:
+            raise ValueError(f"{within} is none of the keys")
+        least, most = source.agg(F.min(within)).scalar(), source.agg(F.max(within)).scalar()
+        target = target.filter((F.col(within) >= least) & (F.col(within) <= most))
     reduced = keep_earliest(source, keys, order or [c for c in source.columns if c not in keys])
     return reduced.join(target.select(*keys).distinct(), list(keys), "left_anti").select(
         *source.columns
@@ -73,12 +90,21 @@ def rows_to_insert(
 
 
 def insert_only_merge(
-    source: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = ()
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    partition_by: str | None = None,
 ) -> None:
-    """Append to the parquet table the source rows whose key it lacks."""
+    """Append to the parquet table the source rows whose key it lacks.
+
+    A table partitioned by one of the keys is read only in the partitions that
+    the source may fill.
+    """
     spark = source.sparkSession
     target = spark.read.schema(source.schema).parquet(path)
-    rows_to_insert(target, source, keys, order).write.mode("append").parquet(path)
+    writer = rows_to_insert(target, source, keys, order, partition_by).write.mode("append")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
 def rename_known(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from catalogue.harness import with_shared_folder
+
 
 def local_session(cores: str = "8") -> SparkSession:
     session = (
@@ -14,7 +16,7 @@ def local_session(cores: str = "8") -> SparkSession:
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    return with_shared_folder(session)
 
 
 @pytest.fixture(scope="session")

@@ -1,12 +1,16 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.operators.clusters import (
+    CELL,
     fit_month,
     mean_shift,
     neighbour_bandwidth,
+    nearest_center,
     score_centers,
+    score_histogram,
     score_sample,
 )
 
@@ -38,15 +42,20 @@ def shift_by_points(points, bandwidth):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("seed", range(6))
+def counted(points):
+    return np.unique(points, return_counts=True)
+
+
+@pytest.mark.parametrize("seed", range(8))
 def test_fit_agrees_with_brute_force(seed):
     rng = np.random.default_rng(seed)
     parts = [rng.normal(m, 0.03, 80) for m in rng.uniform(0.1, 0.9, 3)]
     points = np.round(np.clip(np.concatenate(parts), 0, 1), 2 if seed % 2 else 8)
-    bandwidth = neighbour_bandwidth(points)
-    assert bandwidth == pytest.approx(bandwidth_by_pairs(points), abs=1e-8)
-    values, copies = np.unique(points, return_counts=True)
-    assert mean_shift(values, copies, bandwidth) == pytest.approx(
+    if seed > 5:  # a cell with most of the clients beside light ones
+        points = np.concatenate([points, np.full(400, points[0])])
+    bandwidth = neighbour_bandwidth(*counted(points))
+    assert bandwidth == pytest.approx(max(bandwidth_by_pairs(points), 1e-3), abs=1e-8)
+    assert mean_shift(*counted(points), bandwidth) == pytest.approx(
         shift_by_points(points, bandwidth), abs=1e-9
     )
 
@@ -57,34 +66,57 @@ def test_two_separate_groups():
     assert centres == [pytest.approx(0.22), pytest.approx(0.705)]
 
 
-def test_fallback_bandwidth():
-    assert neighbour_bandwidth(np.array([0.4])) == 1e-3
-    assert neighbour_bandwidth(np.full(20, 0.4)) == 1e-3
+def test_bandwidth_has_a_floor_and_a_fallback():
+    assert neighbour_bandwidth(*counted(np.array([0.4]))) == 1e-3
+    assert neighbour_bandwidth(*counted(np.full(20, 0.4))) == 1e-3
+    assert neighbour_bandwidth(*counted(np.linspace(0.4, 0.400001, 50))) == 1e-3
     points = np.array([0.0] * 2 + [1.0] * 2)  # one neighbour each: the point itself
     expected = 1.06 * np.std(points, ddof=1) * 4 ** (-0.2)
-    assert neighbour_bandwidth(points) == pytest.approx(expected, abs=1e-8)
+    assert neighbour_bandwidth(*counted(points)) == pytest.approx(expected, abs=1e-8)
 
 
-def test_large_samples_use_the_same_draw():
-    points = np.random.default_rng(1).uniform(0, 1, 12_000)
-    draw = np.random.RandomState(42).permutation(len(points))[:5000]
-    assert neighbour_bandwidth(points) == pytest.approx(bandwidth_by_pairs(points[draw]), abs=1e-8)
+def test_a_centre_that_does_not_rest_stops_the_fit(monkeypatch):
+    monkeypatch.setattr("tarmac.operators.clusters.MAX_STEPS", 0)
+    with pytest.raises(RuntimeError, match="does not rest"):
+        mean_shift(np.array([0.1, 0.16, 0.3]), np.array([1, 5, 40]), 0.2)
 
 
-def test_fit_runs_on_the_cluster(spark):
+def test_the_fit_reads_every_client_whatever_its_key(spark):
+    """Scores that rise with the key: a prefix of the keys would miss whole groups."""
+    clients = spark.range(600_000).select(
+        F.format_string("p%09d", "id").alias("policy_number"),
+        F.lit("i").alias("item_no"),
+        F.lit("d").alias("imei_number"),
+        F.lit("s").alias("sentiance_id"),
+        (F.floor(F.col("id") / 200_000) * 0.4 + (F.col("id") % 97) / 97 * 0.02).alias("driving_score"),
+    )
+    cells = score_histogram(clients, "202401")
+    assert cells.agg(F.sum("clients")).first()[0] == 600_000 and cells.count() < 0.9 / CELL
+    fitted = score_centers(clients, "202401").orderBy("ms_cluster").toPandas()
+    assert fitted["ms_center"].tolist() == pytest.approx([0.01, 0.41, 0.81], abs=0.01)
+    assert nearest_center(clients, score_centers(clients, "202401")).agg(
+        F.count_distinct("nearest_ms_cluster")
+    ).first()[0] == 3
+
+
+def test_histogram_fit_is_exact_to_the_cell(spark):
     rng = np.random.default_rng(7)
-    scores = np.round(np.concatenate([rng.normal(0.3, 0.02, 300), rng.normal(0.8, 0.02, 300)]), 6)
-    pdf = pd.DataFrame({"driving_score": scores})
-    for name in ("policy_number", "item_no", "imei_number", "sentiance_id"):
-        pdf[name] = [f"{name[0]}{i}" for i in range(len(pdf))]
-    scored = spark.createDataFrame(pdf)
-    sample = score_sample(scored)
-    kept = sample.toPandas()
-    assert 60 < len(kept) < 180 and kept["unit_hash"].max() < 0.2
-    assert kept["stable_key"].is_monotonic_increasing
-    again = score_sample(scored.repartition(5)).toPandas()
-    pd.testing.assert_frame_equal(kept, again)
-    fitted = score_centers(sample, "202401").orderBy("ms_cluster").toPandas()
-    pd.testing.assert_frame_equal(fitted, fit_month("202401", kept), check_dtype=False)
-    assert fitted["ms_center"].tolist() == pytest.approx([0.3, 0.8], abs=0.02)
-    assert score_sample(scored, cap=10).count() == 10
+    scores = np.concatenate([rng.normal(0.3, 0.02, 400), rng.normal(0.8, 0.02, 400)])
+    frame = spark.createDataFrame(pd.DataFrame({"driving_score": scores}))
+    fitted = score_centers(frame, "202401").orderBy("ms_cluster").toPandas()
+    exact = fit_month("202401", pd.DataFrame({"value": scores, "clients": 1}))
+    assert fitted["ms_center"].tolist() == pytest.approx(exact["ms_center"].tolist(), abs=2 * CELL)
+    assert fitted["bandwidth"][0] == pytest.approx(exact["bandwidth"][0], abs=2 * CELL)
+    nobody = frame.filter("driving_score is null")
+    assert score_centers(nobody, "202401").count() == 0
+
+
+def test_the_sample_is_the_same_share_on_every_run(spark):
+    frame = spark.range(3000).selectExpr(
+        "concat('p', id) as policy_number", "concat('i', id) as item_no", "'d' as imei_number",
+        "concat('s', id) as sentiance_id", "id / 3000 as driving_score",
+    )
+    kept = score_sample(frame)
+    assert 500 < kept.count() < 700 and kept.agg(F.max("unit_hash")).first()[0] < 0.2
+    again = score_sample(frame.repartition(5))
+    assert sorted(kept.collect()) == sorted(again.collect())

@@ -36,14 +36,14 @@ def run_time():
     return F.lit("2026-04-02 06:00:00").cast("timestamp")
 
 
-def exposure_row(spark, policy="V1", policy_no="MOT-1/2", asset="car-9"):
-    day = datetime(2025, 1, 1)
-    row = (
-        "core", policy_no, policy, day, day, None, day, day, "S", "C", "sedan", "Make",
-        "Model", "CA 1", "VIN", "dev-1", 100.0, 9000.0, "full", "Policy", "Policy", asset,
-        "raw", None, None, None, None, "2025-01", 2025, 1, 1, "2025Q1", None, 95.0, asset,
-    )
-    return spark.createDataFrame([row], EXPOSURE_DDL)
+def exposure_row(spark, **values):
+    """One raw exposure row; columns that are not named are null."""
+    given = {
+        "SourceData": "legacy", "PolicyNo": "TRK-0-44/7", "PolicyNumber": "0440", "LOB_ASSET_ID": "0440-trailer",
+        "ItemNo": "T9", "CoverPremium": 61.25, "EffectiveYearMonth": "2031-11", "PolicyStatus": "Lapsed",
+    } | values
+    schema = spark.createDataFrame([], EXPOSURE_DDL).schema
+    return spark.createDataFrame([tuple(given.get(c) for c in schema.names)], schema)
 
 
 def test_product_and_version_from_policy_number(spark):
@@ -82,59 +82,65 @@ def test_highest_version_wins_and_missing_version_loses(spark):
 
 
 def test_last_inserted_device_row_without_helper_column(spark):
-    rows = [
-        ("P", "a", datetime(2026, m, 1), "d", datetime(2025, 5, 1), m) for m in (1, 3, 2)
-    ]
+    inserted = {"kept": datetime(2019, 7, 9, 13), "same day": datetime(2019, 7, 9, 8), "first": datetime(2017, 2, 28)}
+    rows = [("0440", "t", at, name, None, n) for n, (name, at) in enumerate(inserted.items())]
+    rows += [("0440", "u", datetime(2011, 1, 1), "other item", None, 9)]
     devices = latest_devices(spark.createDataFrame(rows, DEVICE_DDL + ", row_id int"))
     assert "row_id" not in devices.columns
-    assert [r.inserted_datetime for r in devices.collect()] == [datetime(2026, 3, 1)]
-
-
-@pytest.mark.parametrize(
-    "installed, seen, corrected",
-    [
-        (datetime(2026, 6, 1), datetime(2026, 3, 1), datetime(2026, 3, 1)),
-        (None, datetime(2026, 4, 1), datetime(2026, 4, 1)),
-        (datetime(2025, 1, 1), datetime(2026, 5, 1), datetime(2025, 1, 1)),
-        (datetime(2025, 1, 1), None, datetime(2025, 1, 1)),
-        (None, None, None),
-    ],
-)
-def test_installation_is_the_earliest_signal(spark, installed, seen, corrected):
-    devices = spark.createDataFrame([("P", "a", None, "d", installed)], DEVICE_DDL)
-    detections = first_detections(
-        spark.createDataFrame([("d", seen), ("d", datetime(2030, 1, 1))] if seen else [], USER_DDL)
+    assert {r.imei_number for r in devices.collect()} == {"kept", "other item"}
+
+
+def test_installation_is_the_earliest_signal(spark):
+    """Seen before, after and without an install time; never seen; neither."""
+    morning, noon, night = (datetime(2018, 9, 30, h) for h in (6, 12, 23))
+    cases = {
+        "seen before": (noon, [night, morning], morning),
+        "seen after": (morning, [noon, night], morning),
+        "same time": (noon, [noon], noon),
+        "no install time": (None, [night, noon], noon),
+        "never seen": (night, [], night),
+        "neither": (None, [], None),
+    }
+    devices = [("0440", "t", None, name, installed) for name, (installed, _, _) in cases.items()]
+    seen = [(name, at) for name, (_, times, _) in cases.items() for at in times]
+    corrected = with_corrected_installation(
+        spark.createDataFrame(devices, DEVICE_DDL),
+        first_detections(spark.createDataFrame([*seen, ("unknown", morning)], USER_DDL)),
     )
-    [row] = with_corrected_installation(devices, detections).collect()
-    assert row.installation_datetime_final == corrected
+    got = {r.imei_number: r.installation_datetime_final for r in corrected.collect()}
+    assert got == {name: earliest for name, (_, _, earliest) in cases.items()}
 
 
-def test_mapping_contract_and_matched_row(spark):
+def test_mapping_contract_and_matched_rows(spark):
     devices = spark.createDataFrame(
-        [("V1", "car-9", datetime(2025, 1, 5), "dev-1", datetime(2025, 1, 6))], DEVICE_DDL
+        [
+            ("0440", "0440-trailer", datetime(2031, 11, 3), "beacon", datetime(2031, 11, 20)),
+            ("0999", "0440-trailer", datetime(2031, 10, 2), "spare", None),
+            ("0440", "0440-truck", datetime(2031, 11, 3), "cab", None),
+        ],
+        DEVICE_DDL,
     )
-    users = spark.createDataFrame([("dev-1", datetime(2025, 1, 2))], USER_DDL)
+    users = spark.createDataFrame([("beacon", datetime(2031, 11, 18)), ("cab", datetime(2030, 1, 1))], USER_DDL)
     result = build_policy_device_mapping(devices, users, exposure_row(spark), run_time())
     assert tuple(result.columns) == MAPPING_COLUMNS
     assert len(set(MAPPING_COLUMNS)) == 32
-    [row] = result.collect()
-    assert row.installation_datetime == datetime(2025, 1, 2)
-    assert row.imei_first_detection_datetime == datetime(2025, 1, 2)
-    assert (row.policy_version_number, row.policy_product_description) == (2, "MOT")
-    assert (row.item_no, row.original_lob_asset_id, row.premium) == ("car-9", "raw", 100.0)
-    assert row.inserted_timestamp == datetime(2026, 4, 2, 6)
+    rows = result.collect()
+    assert sorted(map(str, {r.installation_datetime for r in rows})) == ["2031-11-18 00:00:00", "None"]
+    for r in rows:  # a device of another policy on the same item counts too
+        assert (r.policy_version_number, r.policy_product_description) == (7, "TRK")
+        assert (r.item_no, r.original_lob_asset_id, r.premium) == ("0440-trailer", "T9", 61.25)
+        assert r.inserted_timestamp == datetime(2026, 4, 2, 6)
+    assert len(rows) == 2
 
 
 def test_exposure_without_device_is_kept(spark):
-    result = build_policy_device_mapping(
-        spark.createDataFrame([], DEVICE_DDL),
-        spark.createDataFrame([], USER_DDL),
-        exposure_row(spark),
-        run_time(),
-    )
-    [row] = result.collect()
-    assert row.policy_number == "V1"
-    assert row.installation_datetime is None and row.imei_first_detection_datetime is None
+    elsewhere = spark.createDataFrame([("0440", "0440-boat", None, "beacon", None)], DEVICE_DDL)
+    users = spark.createDataFrame([("beacon", datetime(2031, 11, 18))], USER_DDL)
+    for asset in ("0440-trailer", None):
+        exposure = exposure_row(spark, LOB_ASSET_ID=asset)
+        [row] = build_policy_device_mapping(elsewhere, users, exposure, run_time()).collect()
+        assert (row.policy_number, row.item_no) == ("0440", asset)
+        assert row.installation_datetime is None and row.imei_first_detection_datetime is None
 
 
 def test_left_join_many_equals_left_join(spark):

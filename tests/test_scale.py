@@ -7,15 +7,23 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import QUERIES
 from tarmac.operators.joins import left_join_many
 from tarmac.operators.latest import keep_latest
 from tarmac.operators.notrip import past_trip_flags
-from tarmac.operators.quantiles import exact_quantiles, melted
+from tarmac.operators.quantiles import STEPS, exact_quantiles, melted, narrowed
 from tarmac.operators.ranking import global_dense_rank, number_rows
-from tarmac.operators.trips import driver_sums, trips_of_month
+from tarmac.operators.trips import driver_sums, month_and_history, trips_of_month
+from tarmac.plans.cohort import from_month
 from tarmac.schemas import TRIP_MEASURES
-from tarmac.sources.session import adaptive, freeze
-from tarmac.sources.tables import overwrite, overwrite_partitions
+from tarmac.sources import session
+from tarmac.sources.session import adaptive, freeze, scratch
+from tarmac.sources.tables import (
+    insert_only_merge,
+    overwrite,
+    overwrite_partitions,
+    rows_to_insert,
+)
 
 
 def plan(df, mode="formatted"):
@@ -165,3 +173,97 @@ def test_only_named_partitions_are_replaced(spark, tmp_path):
     overwrite(df.filter("v = 1").withColumn("w", F.lit(0)), path, ["m"])
     stored = spark.read.parquet(path)
     assert stored.columns == ["v", "w", "m"] and stored.count() == 1
+
+
+def registered(spark, name):
+    return QUERIES[name](spark, "/root/testdata/sf0.001")
+
+
+def test_mapping_reads_exposure_once(spark):
+    text = plan(registered(spark, "mapping_full"), "simple")
+    scans = [line for line in text.splitlines() if "FileScan" in line and "l_extendedprice" in line]
+    assert len(scans) == 1
+
+
+@pytest.fixture(scope="module")
+def stored_exposure(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("exposure") / "e")
+    months = ["2023-12", "202312", "2024-01", "202401", "2024-02", "202402", "2024-10", "202410"]
+    rows = [("p", str(n), m) for n, m in enumerate(months)]
+    frame = spark.createDataFrame(rows, "policy_number string, item_no string, effective_year_month string")
+    overwrite(frame, path, ["effective_year_month"])
+    return spark.read.option("basePath", path).schema(frame.schema).parquet(path)
+
+
+@pytest.mark.parametrize("month", ["202402", "2024-02"])
+def test_months_prune_partitions_in_both_spellings(stored_exposure, month):
+    chosen = from_month(stored_exposure, month)
+    got = sorted(r.effective_year_month for r in chosen.collect())
+    assert got == ["202402", "202402", "202410", "202410"]
+    filters = next(line for line in plan(chosen).splitlines() if "PartitionFilters" in line)
+    assert "effective_year_month" in filters and ">= 2024-02" in filters
+
+
+def test_month_and_history_come_from_one_scan(stored_trips):
+    found = month_and_history(stored_trips, "202401")
+    text = plan(found)
+    assert text.count("ReadSchema") == 1 and "LessThan(start_ts,2024-02-01" in text
+    got = {r.sentiance_id: r.asDict() for r in found.collect()}
+    sums = {r.sentiance_id: r.asDict() for r in driver_sums(trips_of_month(stored_trips, "202401")).collect()}
+    flags = {r.sentiance_id: r.asDict() for r in past_trip_flags(stored_trips, "202401").collect()}
+    assert set(got) == set(sums) | set(flags)
+    for user, row in got.items():
+        for name, value in {**sums.get(user, {}), **flags.get(user, {})}.items():
+            assert row[name] == (pytest.approx(value) if isinstance(value, float) else value)
+        if user not in sums:
+            assert row["trip_count"] is None and row["legal_n"] is None
+
+
+def test_brackets_of_many_distinct_values_stay_narrow(spark):
+    values = spark.range(1_000_000).select(F.lit("a").alias("component"), F.rand(3).alias("value"))
+    values = freeze(values)
+    bands = values.groupBy("component").agg(F.count("*").alias("n")).select(
+        "component", "n", F.lit(0.2).alias("share"), F.lit(0.1).alias("low"), F.lit(0.3).alias("high")
+    )
+    band = narrowed(values, bands).first()
+    inside = values.filter((F.col("value") >= band.low) & (F.col("value") <= band.high)).count()
+    assert inside < 5 * 200_000 / STEPS
+    got = exact_quantiles(values, (0.2,)).first().quantile
+    assert values.filter(F.col("value") <= got).count() == 200_000
+
+
+def test_the_merge_reads_the_cycles_of_its_source_only(spark, tmp_path):
+    path = str(tmp_path / "target")
+    rows = [(k, cycle, "old") for cycle in range(60, 80) for k in range(5)]
+    ddl = "k int, cycle_number int, v string"
+    spark.createDataFrame(rows, ddl).write.partitionBy("cycle_number").parquet(path)
+    source = spark.createDataFrame([(3, 79, "new"), (9, 79, "new")], ddl)
+    target = spark.read.schema(source.schema).parquet(path)
+    keys = ["k", "cycle_number"]
+    wanted = rows_to_insert(target, source, keys, within="cycle_number")
+    assert "PartitionFilters: [isnotnull(cycle_number" in plan(wanted).replace("\n", " ")
+    insert_only_merge(source, path, keys, partition_by="cycle_number")
+    stored = spark.read.schema(source.schema).parquet(path)
+    assert stored.count() == 101 and stored.filter("v = 'new'").first().k == 9
+    with pytest.raises(ValueError, match="none of the keys"):
+        rows_to_insert(target, source, ["k"], within="cycle_number")
+
+
+def test_rewards_write_three_copies_at_most(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    with scratch(spark):
+        registered(spark, "rewards_full")
+        assert len(list((tmp_path / "tarmac").iterdir())) <= 3
+    assert not list((tmp_path / "tarmac").iterdir())
+
+
+def test_own_copies_need_a_shared_folder():
+    class Bare:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:  # noqa: N801
+            getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Bare)
