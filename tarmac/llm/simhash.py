@@ -12,6 +12,10 @@ these 28 bits for each start and half; the other chain budgets are checked
 before the full difference. Only a spanning forest of the links of a bucket is
 kept, never all its pairs.
 
+``keep_one`` also links texts that share four fifths of their shingles, whose
+fingerprints mostly lie further apart: they meet by passages, are pruned by the
+difference of their fingerprints, and compared shingle by shingle.
+
 A bucket beyond a fixed size is dealt again: of its other 36 bits, three of six
 equal parts must agree, which leaves 18 bits. A part that is still too large is
 linked by stars: all fingerprints that agree after three of the 18 bits are
@@ -21,6 +25,7 @@ all pairs, with work in proportion to the rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -37,6 +42,11 @@ SHINGLE, SEED, NEAR = 5, 42, 3
 SEGMENTS, WIDTH = 8, 8
 #: Distinct fingerprints that are compared in one bucket; larger ones are dealt again.
 BUCKET = 2048
+#: Similarity of near copies, and the bits that fingerprints of such texts may differ in.
+SIMILAR, ALIKE = 0.8, 24
+#: Words that a passage has at least, the hashes that end one (one word in eight),
+#: and the nearest texts that a text of a crowd is compared with by its shingles.
+LEAST_PASSAGE, PASSAGE_ENDS, CROWD = 5, np.uint32((1 << 32) // 8), 8
 _HELD_LINKS = 1 << 20
 _BITS_AT_ONCE = 1 << 15
 
@@ -321,27 +331,220 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
     )
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
+# Near copies of a given similarity
+
+
+def passages(text: bytes) -> list[int]:
+    """Fingerprints of the text's passages: runs of words that end where the last two
+    words' hashes say so, so that an edit changes the passages it touches and no more."""
+    words = text.lower().split()
+    if len(words) <= LEAST_PASSAGE:
+        return [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
+    sums = np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words))
+    ends = np.flatnonzero((sums[1:] * np.uint32(31) + sums[:-1]) * np.uint32(0x9E3779B1) < PASSAGE_ENDS) + 2
+    out, begin = [], 0
+    for end in [*ends.tolist(), len(words)]:
+        if end - begin >= LEAST_PASSAGE or end == len(words):
+            out.append(xxhash.xxh64_intdigest(b" ".join(words[begin:end]), SEED))
+            begin = end
+    return out
+
+
+def _with_passages(docs: DataFrame, names: dict[str, str], shingle: int) -> DataFrame:
+    """The table with fingerprint, number of shingles and distinct passages of each text."""
+    source, columns = free_name(docs, "text_bytes"), docs.columns
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch[source].to_pylist()
+            prints = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
+            sizes = [max(1, len(t.split()) - shingle + 1) for t in texts]
+            found = [np.unique(np.array(passages(t), dtype=np.uint64)).view(np.int64) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch[c] for c in columns),
+                    pa.array(prints.view(np.int64)),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(found, pa.list_(pa.int64())),
+                ],
+                names=[*columns, names["value"], names["size"], names["passages"]],
+            )
+
+    schema = T.StructType(
+        [
+            *docs.schema.fields,
+            T.StructField(names["value"], T.LongType()),
+            T.StructField(names["size"], T.LongType()),
+            T.StructField(names["passages"], T.ArrayType(T.LongType())),
+        ]
+    )
+    return map_batches(docs.withColumn(source, utf8("text")), added, schema)
+
+
+def _nearest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, most: int) -> np.ndarray:
+    """The pairs that are among the nearest of either end."""
+    kept = np.zeros(len(a), dtype=bool)
+    for end in (a, b):
+        order = np.lexsort((apart, end))
+        first = np.flatnonzero(np.diff(end[order], prepend=end[order[:1]] - 1))
+        place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+        kept[order[place < most]] = True
+    return kept
+
+
+def _alike(near: int, least: float, most: int):
+    """Streams rows (key, row, value, size) sorted by key; yields pairs of rows of one key
+    whose sizes allow the similarity and whose fingerprints pass the pigeonring budgets
+    for ``near`` bits and the full check; for a row in a crowd its nearest ones."""
+
+    def settled(keys, rows, values, sizes) -> Iterator[pa.RecordBatch]:
+        left, right, apart, held = [], [], [], 0
+        at, shift = np.arange(len(keys)), 1
+        while len(at):
+            at = at[at + shift < len(keys)]
+            at = at[keys[at] == keys[at + shift]]
+            differ = values[at] ^ values[at + shift]
+            bits = np.bitwise_count(differ.view(np.uint64)).astype(np.int64)
+            small = np.minimum(sizes[at], sizes[at + shift])
+            good = (bits <= near) & (small >= least * np.maximum(sizes[at], sizes[at + shift]))
+            found = at[good]
+            left.append(rows[found])
+            right.append(rows[found + shift])
+            apart.append(bits[good])
+            held += len(found)
+            if held > _HELD_LINKS:
+                a, b, c = map(np.concatenate, (left, right, apart))
+                kept = _nearest(a, b, c, most)
+                left, right, apart, held = [a[kept]], [b[kept]], [c[kept]], int(kept.sum())
+            shift += 1
+        if held:
+            a, b, c = map(np.concatenate, (left, right, apart))
+            kept = _nearest(a, b, c, most)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)[kept]), pa.array(np.maximum(a, b)[kept])], names=["a", "b"]
+            )
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "row", "value", "size")
+        held = [np.zeros(0, np.int64)] * 4
+        for batch in batches:
+            held = [np.concatenate([h, batch[n].to_numpy()]) for h, n in zip(held, names, strict=True)]
+            end = np.searchsorted(held[0], held[0][-1])
+            if end >= _BITS_AT_ONCE:
+                yield from settled(*(h[:end] for h in held))
+                held = [h[end:] for h in held]
+        if len(held[0]):
+            yield from settled(*held)
+
+    return paired
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs whose sets of word shingles are similar enough (Jaccard)."""
+    c = F.col
+    met = pairs.join(texts.select(c("row").alias("a"), c("text").alias("left")), "a").join(
+        texts.select(c("row").alias("b"), c("text").alias("right")), "b"
+    )
+
+    def shingles(text: bytes) -> set:
+        words = text.lower().split()
+        if len(words) <= shingle:
+            return {tuple(words)}
+        return set(zip(*(words[k:] for k in range(shingle)), strict=False))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for left, right in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True):
+                one, two = shingles(left), shingles(right)
+                both = len(one & two)
+                good.append(both >= least * (len(one) + len(two) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return map_batches(met.select("a", "b", "left", "right"), compared, "a long, b long")
+
+
+def _telling(rows: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The passages (key, row, value, size) by which similar texts find each other.
+
+    An edit changes at most ``shingle`` shingles and two passages, so texts of the
+    similarity share all passages but two for each edit that it allows. Then they
+    also share one of that many and one of their rarest ones, and need not meet by
+    a passage that many texts hold. Passages of one text only count as the rarest.
+    """
+    c = F.col
+    keyed = rows.select(F.explode("passages").alias("key"), "row")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter(c("n") > 1)
+    listed = (
+        keyed.join(shared, "key")
+        .groupBy("row")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("shared"))
+    )
+    edits = F.floor(c("size") * ((1 - least) / (shingle * (1 + least)) + 1e-9))
+    own = F.size("passages") - F.size("shared")
+    kept = F.greatest(2 * edits + 1 - own, F.lit(0)).cast("int")
+    return rows.join(listed, "row").select(
+        F.explode(F.slice("shared", F.lit(1), kept)["key"]).alias("key"), "row", "value", "size"
+    )
+
+
+def similar_links(
+    rows: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR, near: int = ALIKE
+) -> DataFrame:
+    """Links (a, b) between ``row``s of similar text, for rows (row, text, value, size,
+    passages) of distinct fingerprints.
+
+    Texts that share a telling passage are compared by fingerprint first, then by
+    their whole sets of shingles.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbers = rows.select("row", "value", "size", "passages")
+    dealt = _telling(numbers, shingle, similarity).repartition(parts, "key")
+    pairs = map_batches(
+        dealt.sortWithinPartitions("key"), _alike(near, similarity, CROWD), "a long, b long"
+    ).distinct()
+    texts = rows.select("row", utf8("text").alias("text"))
+    return _similar(stored(pairs, "alike"), texts, shingle, similarity)
+
+
+def keep_one(
+    docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET, similarity: float | None = SIMILAR
+) -> DataFrame:
     """One row of each group, that of the smallest doc_id, with all its columns.
 
-    Equal doc_ids are told apart by their text; of equal rows one stays.
+    Groups are linked by fingerprints, and with ``similarity`` also by the shared
+    shingles of texts whose fingerprints lie further apart than three bits. Equal
+    doc_ids are told apart by their text; of equal rows one stays.
     """
-    names = docs.columns
-    value, row = free_name(docs, "simhash_value"), free_name(docs, "simhash_row")
-    rows = with_fingerprints(docs, value, shingle).withColumn(row, F.monotonically_increasing_id())
+    columns = docs.columns
+    names = {k: free_name(docs, f"simhash_{k}") for k in ("value", "size", "passages", "row")}
+    rows = _with_passages(docs, names, shingle).withColumn(
+        names["row"], F.monotonically_increasing_id()
+    )
     rows = stored(rows, "fingerprints")
-    keys = rows.select(
-        F.col(value).alias("value"),
-        F.col(row).alias("row"),
-        F.struct(
-            F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.col(row)
-        ).alias("place"),
+    own = rows.select(*(F.col(names[k]).alias(k) for k in names), "doc_id", "text")
+    keys = own.select(
+        "value",
+        "row",
+        F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.col("row")).alias("place"),
     )
-    reached = groups(keys.select("value").distinct(), bucket)
+    edges = links(keys.select("value").distinct(), bucket)
+    if similarity is not None:
+        # one row of each fingerprint stands for all with it
+        first = keys.groupBy("value").agg(F.min("row").alias("row")).select("row")
+        some = stored(own.join(first, "row", "left_semi").drop("doc_id"), "distinct")
+        alike = similar_links(some, shingle, similarity)
+        value = some.select("row", "value")
+        edges = edges.union(
+            alike.join(value.select(F.col("row").alias("a"), F.col("value").alias("left")), "a")
+            .join(value.select(F.col("row").alias("b"), F.col("value").alias("right")), "b")
+            .select("left", "right")
+        )
+    reached = components(edges).select(F.col("node").alias("value"), "component")
     first = (
         keys.join(reached, "value", "left")
         .groupBy(F.coalesce("component", "value").alias("component"))
         .agg(F.min("place").alias("place"))
-        .select(F.col(f"place.{row}").alias(row))
+        .select(F.col("place.row").alias(names["row"]))
     )
-    return rows.join(first, row, "left_semi").select(*names)
+    return rows.join(first, names["row"], "left_semi").select(*columns)
