@@ -727,33 +727,31 @@ def rewards_fitted(tb):
     return build_rewards(cohort(tb), tb.trips(), REWARD_MONTH, run_ts())
 
 
-@query(
-    "rewards_target_schema",
-    with_tables(f"select {DRIVER}, cycle_number from {_REWARDS}"),
-)
+@query("rewards_target_schema", select(REWARDS, _REWARDS))
 def rewards_target_schema(tb):
     """The declared table, empty, then filled with the rows of the month."""
     path = fresh_path(tb.spark, "rewards")
     empty_table(tb.spark, REWARDS_SCHEMA).write.parquet(path)
     rewards(tb).write.mode("append").parquet(path)
-    stored = tb.spark.read.schema(REWARDS_SCHEMA).parquet(path)
-    return stored.select(*DRIVER_KEYS, "cycle_number")
+    return tb.spark.read.schema(REWARDS_SCHEMA).parquet(path)
 
 
 @query(
     "sink_insert_only_merge",
-    with_tables(f"""
-select {DRIVER}, cycle_number, reward_category,
-       case when reward_category = 'Had Trips' then '2024-02-01' else '2024-02-03' end as loaded
+    select(
+        REWARDS + ", loaded",
+        f"""(
+select *, case when reward_category = 'Had Trips' then '2024-02-01' else '2024-02-03' end as loaded
 from {_REWARDS}
 union all
-select {DRIVER}, cycle_number - 1, reward_category, '2024-01-01' from {_REWARDS}"""),
+select * replace (cycle_number - 1 as cycle_number), '2024-01-01' as loaded from {_REWARDS})""",
+    ),
 )
 def sink_insert_only_merge(tb):
     """Clients with trips are in the table already, and all of an earlier cycle; the
     merge adds the others."""
     path = fresh_path(tb.spark, "merged")
-    current = rewards(tb).select(*DRIVER_KEYS, "cycle_number", "reward_category")
+    current = freeze(rewards(tb), "current")
     stored = current.filter(F.col("reward_category") == "Had Trips")
     earlier = current.withColumn("cycle_number", F.col("cycle_number") - 1)
     both = stored.withColumn("loaded", F.lit("2024-02-01")).union(

@@ -22,7 +22,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(spark_entry.QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     verdict, _, detail = compare(spark, con, FOLDER, name)
     assert verdict == "same", detail
