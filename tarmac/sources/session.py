@@ -62,7 +62,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
+def freeze(df: DataFrame, label: str = "frozen", compression: str | None = None) -> DataFrame:
     """Write the table to the shared folder and read it back.
 
     Cuts the lineage: several later passes read the result instead of
@@ -70,5 +70,5 @@ def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     executor loses nothing.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
