@@ -442,8 +442,10 @@ def _alike(near: int, least: float, most: int):
 def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
     """The pairs whose sets of word shingles are similar enough (Jaccard)."""
     c = F.col
-    met = pairs.join(texts.select(c("row").alias("a"), c("text").alias("left")), "a").join(
-        texts.select(c("row").alias("b"), c("text").alias("right")), "b"
+    needed = pairs.select(c("a").alias("row")).union(pairs.select("b")).distinct()
+    some = stored(texts.join(needed, "row", "left_semi"), "alike_texts")
+    met = pairs.join(some.select(c("row").alias("a"), c("text").alias("left")), "a").join(
+        some.select(c("row").alias("b"), c("text").alias("right")), "b"
     )
 
     def shingles(text: bytes) -> set:
@@ -489,22 +491,25 @@ def _telling(rows: DataFrame, shingle: int, least: float) -> DataFrame:
 
 
 def similar_links(
-    rows: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR, near: int = ALIKE
+    numbers: DataFrame,
+    texts: DataFrame,
+    shingle: int = SHINGLE,
+    similarity: float = SIMILAR,
+    near: int = ALIKE,
 ) -> DataFrame:
-    """Links (a, b) between ``row``s of similar text, for rows (row, text, value, size,
-    passages) of distinct fingerprints.
+    """Links (a, b) between ``row``s of similar text: numbers (row, value, size, passages)
+    of distinct fingerprints, and texts (row, text) of at least these rows.
 
     Texts that share a telling passage are compared by fingerprint first, then by
-    their whole sets of shingles.
+    their whole sets of shingles; only those that pass are fetched.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbers = rows.select("row", "value", "size", "passages")
+    parts = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = _telling(numbers, shingle, similarity).repartition(parts, "key")
     pairs = map_batches(
         dealt.sortWithinPartitions("key"), _alike(near, similarity, CROWD), "a long, b long"
     ).distinct()
-    texts = rows.select("row", utf8("text").alias("text"))
-    return _similar(stored(pairs, "alike"), texts, shingle, similarity)
+    whole = texts.select("row", utf8("text").alias("text"))
+    return _similar(stored(pairs, "alike"), whole, shingle, similarity)
 
 
 def keep_one(
@@ -532,9 +537,10 @@ def keep_one(
     if similarity is not None:
         # one row of each fingerprint stands for all with it
         first = keys.groupBy("value").agg(F.min("row").alias("row")).select("row")
-        some = stored(own.join(first, "row", "left_semi").drop("doc_id"), "distinct")
-        alike = similar_links(some, shingle, similarity)
-        value = some.select("row", "value")
+        numbers = own.select("row", "value", "size", "passages").join(first, "row", "left_semi")
+        numbers = stored(numbers, "distinct")
+        alike = similar_links(numbers, own.select("row", "text"), shingle, similarity)
+        value = numbers.select("row", "value")
         edges = edges.union(
             alike.join(value.select(F.col("row").alias("a"), F.col("value").alias("left")), "a")
             .join(value.select(F.col("row").alias("b"), F.col("value").alias("right")), "b")
