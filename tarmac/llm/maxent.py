@@ -37,7 +37,7 @@ BLOCK_BYTES = 12 << 20
 FREQUENT, CLASSES, FEATURES, LETTERS = 31, 64, 1 << 14, 2
 ROUNDS, RATE, SMOOTH, LARGEST_STEP = 4, 0.15, 100.0, 1.0
 #: Positions of one product, partial gradients that one task of the tree adds.
-POSITIONS, FAN_IN, SHARDS = 1 << 14, 32, 16
+POSITIONS, FAN_IN, SHARDS = 1 << 12, 32, 16
 END = b""
 _START = 0x5BD1E995
 
@@ -56,11 +56,12 @@ class Classes:
     totals: np.ndarray
     words: np.ndarray
 
-    def of(self, word: bytes) -> int:
-        single = self.frequent.get(word)
-        if single is not None:
-            return single
-        return FREQUENT + zlib.crc32(word[-LETTERS:]) % (CLASSES - FREQUENT)
+    def of_all(self, words: list[bytes]) -> list[int]:
+        """The class of each word."""
+        single, last = self.frequent.get, -LETTERS
+        ends = np.fromiter((zlib.crc32(w[last:]) for w in words), dtype=np.int64, count=len(words))
+        own = np.fromiter((single(w, -1) for w in words), dtype=np.int64, count=len(words))
+        return np.where(own >= 0, own, FREQUENT + ends % (CLASSES - FREQUENT)).tolist()
 
     def inside(self, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Natural logarithm of P(word | class)."""
@@ -77,12 +78,12 @@ class Lexicon:
         self.hashes, self.kinds, self.counts = [_START], [CLASSES], [0]
         self.arrays = None
 
-    def add(self, words, counts=None) -> None:
-        for k, word in enumerate(words):
-            self.index[word] = len(self.hashes)
-            self.hashes.append(zlib.crc32(word))
-            self.kinds.append(self.classes.of(word))
-            self.counts.append(0 if counts is None else counts[k])
+    def add(self, words: list[bytes], counts: list[int] | None = None) -> None:
+        start = len(self.hashes)
+        self.index.update(zip(words, range(start, start + len(words)), strict=True))
+        self.hashes.extend(map(zlib.crc32, words))
+        self.kinds.extend(self.classes.of_all(words))
+        self.counts.extend([0] * len(words) if counts is None else counts)
         self.arrays = None
 
     def flat(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -123,32 +124,36 @@ def features(hashes: np.ndarray, kinds: np.ndarray, at: np.ndarray) -> np.ndarra
 
 def class_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Natural logarithms of P(class | history) for each position and class."""
-    logits = weights[FEATURES] + weights[rows[:, 0]]
+    logits = weights.take(rows[:, 0], axis=0)
+    more = np.empty_like(logits)
     for k in range(1, rows.shape[1]):
-        logits += weights[rows[:, k]]
+        logits += weights.take(rows[:, k], axis=0, out=more, mode="clip")
+    logits += weights[FEATURES]
     logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    logits -= np.log(np.exp(logits, out=more).sum(axis=1, keepdims=True))
     return logits
 
 
 def add_gradient(total: np.ndarray, weights: np.ndarray, rows: np.ndarray, kinds: np.ndarray):
     """Adds expected less seen classes to each active feature; the last column counts."""
     excess = np.empty((len(rows), CLASSES + 1), dtype=np.float32)
-    excess[:, :CLASSES] = np.exp(class_scores(weights, rows))
+    np.exp(class_scores(weights, rows), out=excess[:, :CLASSES])
     excess[np.arange(len(rows)), kinds] -= 1
     excess[:, CLASSES] = 1
     total[FEATURES] += excess.sum(axis=0)
+    together = np.empty_like(excess)
     for k in range(rows.shape[1]):
         order = np.argsort(rows[:, k].astype(np.uint16), kind="stable")
         own = rows[order, k]
         starts = np.flatnonzero(np.diff(own, prepend=own[:1] + 1))
-        total[own[starts]] += np.add.reduceat(excess[order], starts, axis=0)
+        np.take(excess, order, axis=0, out=together, mode="clip")
+        total[own[starts]] += np.add.reduceat(together, starts, axis=0)
 
 
 def gradient(texts: list[bytes], weights: np.ndarray, classes: Classes, total: np.ndarray) -> None:
     words = [tokens(t) for t in texts]
     lexicon = Lexicon(classes)
-    lexicon.add({w for text in words for w in text})
+    lexicon.add(list(set().union(*words)))
     numbers, at = lexicon.flat(words)
     hashes, kinds, _ = lexicon.parts()
     hashed, kinds = hashes[numbers], kinds[numbers]
@@ -214,18 +219,19 @@ def blocked(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def block_words(rows: DataFrame) -> DataFrame:
-    """Each block's distinct words with their number in its training texts, stored."""
+    """Each block's words with their number in its training texts, stored; a word comes
+    again where a block is read by two tasks or has very many words."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, found, seen = None, Counter(), set()
+        block, found, unheld = None, Counter(), set()
 
         def out() -> pa.RecordBatch:
-            words = list(seen)
+            words = [*found, *(unheld - found.keys())]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([block] * len(words), pa.int64()),
                     pa.array(words, pa.binary()),
-                    pa.array([found[w] for w in words], pa.int64()),
+                    pa.array([*found.values(), *[0] * (len(words) - len(found))], pa.int64()),
                 ],
                 names=["block", "word", "n"],
             )
@@ -237,19 +243,16 @@ def block_words(rows: DataFrame) -> DataFrame:
                 batch["text"].to_pylist(),
                 strict=True,
             ):
-                if own != block or len(seen) > 500_000:
-                    if seen:
+                if own != block or len(found) + len(unheld) > 500_000:
+                    if found or unheld:
                         yield out()
-                    block, found, seen = own, Counter(), set()
-                words = tokens(text)
-                seen.update(words)
-                if not held:
-                    found.update(words)
-        if seen:
+                    block, found, unheld = own, Counter(), set()
+                (unheld if held else found).update(tokens(text))
+        if found or unheld:
             yield out()
 
     words = map_batches(rows.select("block", "held_out", "text"), counted, "block long, word binary, n long")
-    return stored(words.groupBy("block", "word").agg(F.sum("n").alias("n")), "block_words")
+    return stored(words, "block_words")
 
 
 def summed(partial: DataFrame, parts: int) -> np.ndarray:
@@ -312,7 +315,7 @@ def fit(rows: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = [classes.of(w) for w in batch["word"].to_pylist()]
+            kinds = classes.of_all(batch["word"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(kinds, pa.int32()), batch["n"]], names=["kind", "n"]
             )

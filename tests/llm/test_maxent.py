@@ -64,14 +64,13 @@ def test_probabilities_of_a_history_sum_to_one():
     classes = maxent.Classes(
         {w: k for k, w in enumerate(top)}, np.zeros(maxent.CLASSES), np.zeros(maxent.CLASSES)
     )
-    for w, n in counts.items():
-        classes.totals[classes.of(w)] += n
-        classes.words[classes.of(w)] += 1
+    kinds = np.array(classes.of_all(words))
+    np.add.at(classes.totals, kinds, list(counts.values()))
+    np.add.at(classes.words, kinds, 1)
     weights = draw.normal(size=(maxent.FEATURES + 1, maxent.CLASSES)).astype(np.float32)
     rows = draw.integers(0, maxent.FEATURES, (5, 4))
     logs = maxent.class_scores(weights, rows)
     assert np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-5)
-    kinds = np.array([classes.of(w) for w in words])
     inside = np.exp(classes.inside(kinds, np.array([counts[w] for w in words])))
     share = np.bincount(kinds, inside, minlength=maxent.CLASSES)
     unseen = 1 / (classes.totals + classes.words + 1)
