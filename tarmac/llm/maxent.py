@@ -36,8 +36,9 @@ from tarmac.llm.common import fold, map_batches, stored, utf8
 BLOCK_BYTES = 12 << 20
 FREQUENT, CLASSES, FEATURES, LETTERS = 31, 64, 1 << 14, 2
 ROUNDS, RATE, SMOOTH, LARGEST_STEP = 4, 0.15, 100.0, 1.0
-#: Positions of one product, partial gradients that one task of the tree adds.
-POSITIONS, FAN_IN, SHARDS = 1 << 12, 32, 16
+#: Positions of one product, partial gradients that one task of the tree adds, the
+#: pieces of a gradient, texts scored at a time.
+POSITIONS, FAN_IN, SHARDS, TEXTS = 1 << 12, 32, 16, 500
 END = b""
 _START = 0x5BD1E995
 
@@ -214,7 +215,9 @@ def blocked(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     rows = docs.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), utf8("text").alias("text"))
     return stored(
-        map_batches(rows, dealt, f"doc_id {kind}, held_out boolean, text binary, block long"), "blocks"
+        map_batches(rows, dealt, f"doc_id {kind}, held_out boolean, text binary, block long"),
+        "blocks",
+        "zstd",
     )
 
 
@@ -252,7 +255,7 @@ def block_words(rows: DataFrame) -> DataFrame:
             yield out()
 
     words = map_batches(rows.select("block", "held_out", "text"), counted, "block long, word binary, n long")
-    return stored(words, "block_words")
+    return stored(words, "block_words", "zstd")
 
 
 def summed(partial: DataFrame, parts: int) -> np.ndarray:
@@ -340,62 +343,39 @@ def fit(rows: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
 
 
 def scored(rows: DataFrame, words: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """Each block's words with their counts, then its texts, in one sorted stream."""
+    """Each block's words with their counts meet its texts; a block is bounded in bytes."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    known = words.select("block", "word").join(counts, "word", "left")
-    known = known.select(
-        "block",
-        F.lit(0).alias("turn"),
-        F.lit(None).cast(kind).alias("doc_id"),
-        F.lit(None).cast("boolean").alias("held_out"),
-        F.col("word").alias("bytes"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+    known = words.select("block", "word").join(counts, "word", "left").select(
+        "block", "word", F.coalesce("n", F.lit(0)).alias("n")
     )
-    texts = rows.select(
-        "block",
-        F.lit(1).alias("turn"),
-        "doc_id",
-        "held_out",
-        F.col("text").alias("bytes"),
-        F.lit(0).cast("long").alias("n"),
-    )
-    blocks = words.select("block").distinct().count() or 1
-    stream = known.union(texts).repartition(blocks, "block").sortWithinPartitions("block", "turn")
 
-    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, lexicon = None, Lexicon(model.classes)
-        for batch in batches:
-            marks = batch["block"].to_numpy() * 2 + batch["turn"].to_numpy()
-            cuts = np.flatnonzero(np.diff(marks, prepend=marks[:1] - 1)).tolist()
-            for start, end in zip(cuts, [*cuts[1:], len(marks)], strict=True):
-                own, turn = divmod(int(marks[start]), 2)
-                if own != block:
-                    block, lexicon = own, Lexicon(model.classes)
-                part = batch.slice(start, end - start)
-                if turn == 0:
-                    lexicon.add(part["bytes"].to_pylist(), part["n"].to_pylist())
-                    continue
-                found = model.score(lexicon, part["bytes"].to_pylist())
-                tokens_, known_, base, score = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"],
-                        part["held_out"],
-                        pa.array(tokens_, pa.int64()),
-                        pa.array(known_, pa.int64()),
-                        pa.array([model.tokens] * len(found), pa.int64()),
-                        pa.array(base, pa.float64()),
-                        pa.array(score, pa.float64()),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
-                           "base_score", "score"],
-                )
-
-    return map_batches(
-        stream,
-        answered,
-        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-        "base_score double, score double",
+    def answered(own: pa.Table, texts: pa.Table) -> pa.Table:
+        lexicon = Lexicon(model.classes)
+        lexicon.add(own["word"].to_pylist(), own["n"].to_pylist())
+        found = []
+        for start in range(0, len(texts), TEXTS):
+            found += model.score(lexicon, texts["text"].slice(start, TEXTS).to_pylist())
+        tokens_, known_, base, score_ = zip(*found, strict=True) if found else ((),) * 4
+        return pa.table(
+            {
+                "doc_id": texts["doc_id"],
+                "held_out": texts["held_out"],
+                "n_tokens": pa.array(tokens_, pa.int64()),
+                "n_known": pa.array(known_, pa.int64()),
+                "train_tokens": pa.array([model.tokens] * len(found), pa.int64()),
+                "base_score": pa.array(base, pa.float64()),
+                "score": pa.array(score_, pa.float64()),
+            }
+        )
+
+    return (
+        known.groupBy("block")
+        .cogroup(rows.select("block", "doc_id", "held_out", "text").groupBy("block"))
+        .applyInArrow(
+            answered,
+            f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+            "base_score double, score double",
+        )
     )
 
 
