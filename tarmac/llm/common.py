@@ -25,9 +25,9 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Written to the shared folder and read back: cuts lineage, survives lost executors."""
-    return freeze(df, label)
+    return freeze(df, label, compression)
 
 
 def utf8(column: str | Column) -> Column:

@@ -138,6 +138,7 @@ def with_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
             F.monotonically_increasing_id().alias("row"),
         ),
         "payloads",
+        "zstd",
     )
     first = (
         rows.filter(F.length("payload") >= min_bytes)
