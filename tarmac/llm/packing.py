@@ -26,7 +26,7 @@ OPEN_BINS = 2048
 #: Pieces that one task packs. Each task leaves at most its open bins unfilled.
 TASK_PIECES = 250_000
 #: Words whose ids a worker remembers; beyond that it starts afresh.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 500_000
 
 PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
 

@@ -385,7 +385,7 @@ def _nearest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, most: int) -> np.n
     """The pairs that are among the nearest of either end."""
     kept = np.zeros(len(a), dtype=bool)
     for end in (a, b):
-        order = np.lexsort((apart, end))
+        order = np.lexsort((a + b, apart, end))
         first = np.flatnonzero(np.diff(end[order], prepend=end[order[:1]] - 1))
         place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
         kept[order[place < most]] = True
@@ -506,7 +506,7 @@ def similar_links(
     parts = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = _telling(numbers, shingle, similarity).repartition(parts, "key")
     pairs = map_batches(
-        dealt.sortWithinPartitions("key"), _alike(near, similarity, CROWD), "a long, b long"
+        dealt.sortWithinPartitions("key", "row"), _alike(near, similarity, CROWD), "a long, b long"
     ).distinct()
     whole = texts.select("row", utf8("text").alias("text"))
     return _similar(stored(pairs, "alike"), whole, shingle, similarity)
