@@ -44,9 +44,11 @@ SEGMENTS, WIDTH = 8, 8
 BUCKET = 2048
 #: Similarity of near copies, and the bits that fingerprints of such texts may differ in.
 SIMILAR, ALIKE = 0.8, 24
-#: Words that a passage has at least, the hashes that end one (one word in eight),
-#: and the nearest texts that a text of a crowd is compared with by its shingles.
-LEAST_PASSAGE, PASSAGE_ENDS, CROWD = 5, np.uint32((1 << 32) // 8), 8
+#: Words that a passage has at least, and the hashes that end one (one word in eight).
+LEAST_PASSAGE, PASSAGE_ENDS = 5, np.uint32((1 << 32) // 8)
+#: Rows of a key that are compared at once. In larger crowds each row is compared with
+#: the next few first, then with all that this did not link, in blocks of rows.
+CROWD, NEXT, BLOCK = 64, 4, 1024
 _HELD_LINKS = 1 << 20
 _BITS_AT_ONCE = 1 << 15
 
@@ -381,64 +383,108 @@ def _with_passages(docs: DataFrame, names: dict[str, str], shingle: int) -> Data
     return map_batches(docs.withColumn(source, utf8("text")), added, schema)
 
 
-def _nearest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, most: int) -> np.ndarray:
-    """The pairs that are among the nearest of either end."""
-    kept = np.zeros(len(a), dtype=bool)
-    for end in (a, b):
-        order = np.lexsort((a + b, apart, end))
-        first = np.flatnonzero(np.diff(end[order], prepend=end[order[:1]] - 1))
-        place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
-        kept[order[place < most]] = True
-    return kept
+def _may(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, near: int, least: float) -> np.ndarray:
+    """Whether rows i and j of one key can be similar by their sizes and fingerprints."""
+    one, two = rows["size"][i], rows["size"][j]
+    bits = np.bitwise_count((rows["value"][i] ^ rows["value"][j]).view(np.uint64))
+    return (bits <= near) & (np.minimum(one, two) >= least * np.maximum(one, two))
 
 
-def _alike(near: int, least: float, most: int):
-    """Streams rows (key, row, value, size) sorted by key; yields pairs of rows of one key
-    whose sizes allow the similarity and whose fingerprints pass the pigeonring budgets
-    for ``near`` bits and the full check; for a row in a crowd its nearest ones."""
+def _runs(names: list[str], run: str, cut: int, pairs):
+    """Streams rows sorted by ``run``; yields what ``pairs`` finds in whole runs. A run
+    beyond ``cut`` rows is cut."""
 
-    def settled(keys, rows, values, sizes) -> Iterator[pa.RecordBatch]:
-        left, right, apart, held = [], [], [], 0
-        at, shift = np.arange(len(keys)), 1
-        while len(at):
-            at = at[at + shift < len(keys)]
-            at = at[keys[at] == keys[at + shift]]
-            differ = values[at] ^ values[at + shift]
-            bits = np.bitwise_count(differ.view(np.uint64)).astype(np.int64)
-            small = np.minimum(sizes[at], sizes[at + shift])
-            good = (bits <= near) & (small >= least * np.maximum(sizes[at], sizes[at + shift]))
-            found = at[good]
-            left.append(rows[found])
-            right.append(rows[found + shift])
-            apart.append(bits[good])
-            held += len(found)
-            if held > _HELD_LINKS:
-                a, b, c = map(np.concatenate, (left, right, apart))
-                kept = _nearest(a, b, c, most)
-                left, right, apart, held = [a[kept]], [b[kept]], [c[kept]], int(kept.sum())
-            shift += 1
-        if held:
-            a, b, c = map(np.concatenate, (left, right, apart))
-            kept = _nearest(a, b, c, most)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)[kept]), pa.array(np.maximum(a, b)[kept])], names=["a", "b"]
-            )
+    def batch_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+        )
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "row", "value", "size")
-        held = [np.zeros(0, np.int64)] * 4
+        held = {n: np.zeros(0, np.int64) for n in names}
         for batch in batches:
-            held = [np.concatenate([h, batch[n].to_numpy()]) for h, n in zip(held, names, strict=True)]
-            end = np.searchsorted(held[0], held[0][-1])
-            if end >= _BITS_AT_ONCE:
-                yield from settled(*(h[:end] for h in held))
-                held = [h[end:] for h in held]
-        if len(held[0]):
-            yield from settled(*held)
+            held = {n: np.concatenate([h, batch[n].to_numpy()]) for n, h in held.items()}
+            if len(held[run]) < _BITS_AT_ONCE:
+                continue
+            end = int(np.searchsorted(held[run], held[run][-1]))
+            if len(held[run]) - end > cut:
+                end = len(held[run])
+            if end:
+                yield from (batch_of(a, b) for a, b in pairs({n: h[:end] for n, h in held.items()}))
+                held = {n: h[end:] for n, h in held.items()}
+        if len(held[run]):
+            yield from (batch_of(a, b) for a, b in pairs(held))
 
     return paired
 
 
+def _first_pairs(near: int, least: float):
+    """Of keys of up to ``CROWD`` rows all pairs; in a crowd those of each row with the
+    next ones by size, and with the first, which leaves work in proportion to the rows."""
+
+    def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        keys = rows["key"]
+        begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.append(begins, len(keys)))
+        crowded = np.repeat(counts, counts) > CROWD
+        at = np.arange(len(keys))
+        for shift in range(1, CROWD):
+            at = at[at + shift < len(keys)]
+            at = at[(keys[at] == keys[at + shift]) & (~crowded[at] | (shift <= NEXT))]
+            found = at[_may(rows, at, at + shift, near, least)]
+            yield rows["row"][found], rows["row"][found + shift]
+        first = np.repeat(begins, counts)
+        at = np.flatnonzero(crowded & (np.arange(len(keys)) - first > NEXT))
+        found = at[_may(rows, first[at], at, near, least)]
+        yield rows["row"][first[found]], rows["row"][found]
+
+    return _runs(["key", "row", "value", "size"], "key", 16 * _BITS_AT_ONCE, pairs)
+
+
+def _other_pairs(near: int, least: float):
+    """All pairs of a group that are on different sides and not linked yet."""
+
+    def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        groups, ids = rows["group"], rows["row"]
+        ends = np.searchsorted(groups, groups, side="right")
+        left, right, held = [], [], 0
+        for i in range(len(groups)):
+            j = np.arange(i + 1, ends[i])
+            j = j[(rows["side"][j] != rows["side"][i]) & (rows["component"][j] != rows["component"][i])]
+            j = j[_may(rows, np.full(len(j), i), j, near, least)]
+            left.append(np.full(len(j), ids[i]))
+            right.append(ids[j])
+            held += len(j)
+            if held > _HELD_LINKS:
+                yield np.concatenate(left), np.concatenate(right)
+                left, right, held = [], [], 0
+        if held:
+            yield np.concatenate(left), np.concatenate(right)
+
+    return _runs(["group", "row", "value", "size", "side", "component"], "group", 1 << 62, pairs)
+
+
+def _crowds(dealt: DataFrame, reached: DataFrame) -> DataFrame:
+    """The rows of crowds that are not linked as a whole, in groups of two blocks each:
+    each pair of a crowd is in one group, on different sides of it."""
+    c = F.col
+    named = dealt.join(reached.withColumnRenamed("node", "row"), "row", "left").withColumn(
+        "component", F.coalesce("component", "row")
+    )
+    open_keys = (
+        named.groupBy("key")
+        .agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter((c("n") > CROWD) & (c("lo") != c("hi")))
+        .select("key", F.ceil(c("n") / BLOCK).alias("blocks"))
+    )
+    block = F.pmod(F.xxhash64("row"), c("blocks"))
+    met = named.join(open_keys, "key").withColumn("block", block)
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), c("blocks") - 1)))
+    group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    # within one block every row is a side of its own
+    side = F.when(c("block") == c("other"), c("row")).otherwise(c("block"))
+    return met.select(group.alias("group"), side.alias("side"), *dealt.columns, "component")
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
     """The pairs whose sets of word shingles are similar enough (Jaccard)."""
     c = F.col
@@ -493,23 +539,31 @@ def _telling(rows: DataFrame, shingle: int, least: float) -> DataFrame:
 def similar_links(
     numbers: DataFrame,
     texts: DataFrame,
+    linked: DataFrame,
     shingle: int = SHINGLE,
     similarity: float = SIMILAR,
     near: int = ALIKE,
 ) -> DataFrame:
     """Links (a, b) between ``row``s of similar text: numbers (row, value, size, passages)
-    of distinct fingerprints, and texts (row, text) of at least these rows.
+    of distinct fingerprints, texts (row, text) of at least these rows, and the links
+    (a, b) known so far. Together with these they connect what all pairs would.
 
-    Texts that share a telling passage are compared by fingerprint first, then by
-    their whole sets of shingles; only those that pass are fetched.
+    Texts that share a telling passage are compared by their whole sets of shingles;
+    only those that pass the counts are fetched. A crowd is compared in two rounds, so
+    that texts that the first one linked are not compared again.
     """
     parts = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _telling(numbers, shingle, similarity).repartition(parts, "key")
-    pairs = map_batches(
-        dealt.sortWithinPartitions("key", "row"), _alike(near, similarity, CROWD), "a long, b long"
-    ).distinct()
     whole = texts.select("row", utf8("text").alias("text"))
-    return _similar(stored(pairs, "alike"), whole, shingle, similarity)
+    dealt = stored(_telling(numbers, shingle, similarity), "telling")
+    ordered = dealt.repartition(parts, "key").sortWithinPartitions("key", "size", "row")
+    pairs = map_batches(ordered, _first_pairs(near, similarity), "a long, b long").distinct()
+    first = stored(_similar(stored(pairs, "alike"), whole, shingle, similarity), "similar")
+    if dealt.groupBy("key").count().filter(F.col("count") > CROWD).isEmpty():
+        return first
+    rest = _crowds(dealt, components(first.union(linked)))
+    ordered = rest.repartition(parts, "group").sortWithinPartitions("group")
+    pairs = map_batches(ordered, _other_pairs(near, similarity), "a long, b long").distinct()
+    return first.union(_similar(stored(pairs, "alike"), whole, shingle, similarity))
 
 
 def keep_one(
@@ -539,8 +593,13 @@ def keep_one(
         first = keys.groupBy("value").agg(F.min("row").alias("row")).select("row")
         numbers = own.select("row", "value", "size", "passages").join(first, "row", "left_semi")
         numbers = stored(numbers, "distinct")
-        alike = similar_links(numbers, own.select("row", "text"), shingle, similarity)
         value = numbers.select("row", "value")
+        known = (
+            edges.join(value.select(F.col("row").alias("left"), F.col("value").alias("a")), "a")
+            .join(value.select(F.col("row").alias("right"), F.col("value").alias("b")), "b")
+            .select(F.col("left").alias("a"), F.col("right").alias("b"))
+        )
+        alike = similar_links(numbers, own.select("row", "text"), known, shingle, similarity)
         edges = edges.union(
             alike.join(value.select(F.col("row").alias("a"), F.col("value").alias("left")), "a")
             .join(value.select(F.col("row").alias("b"), F.col("value").alias("right")), "b")

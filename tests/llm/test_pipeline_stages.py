@@ -224,6 +224,44 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == want
 
 
+def replaced(words, places, draw):
+    out = list(words)
+    for k in places:
+        out[k] = f"new{draw.randrange(10**9)}"
+    return out
+
+
+@pytest.mark.parametrize("versions", [9, 45])
+def test_tight_clusters_of_a_crowd_meet(spark, versions):
+    draw = random.Random(26)
+    one = [f"w{draw.randrange(10**9)}" for _ in range(300)]
+    two = replaced(one, range(30, 280, 50), draw)
+    rows = [
+        (k, " ".join(replaced(words, [290], draw)))
+        for k, words in enumerate([one] * versions + [two] * versions)
+    ]
+    assert 0.8 <= jaccard(rows[0][1], rows[versions][1]) < 0.85
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [r.doc_id for r in kept.collect()] == [0]
+
+
+def scattered(seed):
+    """A crowd of versions too different to link, with one similar pair in the middle."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(10**9)}" for _ in range(300)]
+    edits = [3 if k in (27, 54) else 6 for k in range(80)]
+    return [(k, " ".join(replaced(base, draw.sample(range(5, 290, 6), n), draw))) for k, n in enumerate(edits)]
+
+
+def test_a_similar_pair_is_found_among_nearer_fingerprints(spark):
+    rows = scattered(1)
+    root = near_groups(rows)
+    want = sorted(min(rows[j][0] for j in range(len(rows)) if root[j] == r) for r in set(root))
+    assert root[27] == root[54]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
 # Decontamination
 
 
