@@ -13,8 +13,9 @@ before the full difference. Only a spanning forest of the links of a bucket is
 kept, never all its pairs.
 
 ``keep_one`` also links texts that share four fifths of their shingles, whose
-fingerprints mostly lie further apart: they meet by passages, are pruned by the
-difference of their fingerprints, and compared shingle by shingle.
+fingerprints mostly lie further apart: they meet by their rarest shingles, of which
+such texts share one, are pruned by the difference of their fingerprints, and
+compared shingle by shingle.
 
 A bucket beyond a fixed size is dealt again: of its other 36 bits, three of six
 equal parts must agree, which leaves 18 bits. A part that is still too large is
@@ -25,8 +26,9 @@ all pairs, with work in proportion to the rows.
 
 from __future__ import annotations
 
-import zlib
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -44,8 +46,6 @@ SEGMENTS, WIDTH = 8, 8
 BUCKET = 2048
 #: Similarity of near copies, and the bits that fingerprints of such texts may differ in.
 SIMILAR, ALIKE = 0.8, 24
-#: Words that a passage has at least, and the hashes that end one (one word in eight).
-LEAST_PASSAGE, PASSAGE_ENDS = 5, np.uint32((1 << 32) // 8)
 #: Rows of a key that are compared at once. In larger crowds each row is compared with
 #: the next few first, then with all that this did not link, in blocks of rows.
 CROWD, NEXT, BLOCK = 64, 4, 1024
@@ -57,16 +57,17 @@ def _budget(chain: int) -> int:
     return chain * NEAR // SEGMENTS
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of the text's word shingles, repeats included."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the text's word shingles, repeats included; a shorter text is one shingle."""
     words = text.lower().split()
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
     digest, join = xxhash.xxh64_intdigest, b" ".join
+    if len(words) <= shingle:
+        return np.array([digest(join(words), SEED)] if words else [], dtype="<u8")
     rows = zip(*(words[k:] for k in range(shingle)), strict=False)
-    hashes = np.array([digest(join(row), SEED) for row in rows], dtype="<u8")
+    return np.array([digest(join(row), SEED) for row in rows], dtype="<u8")
+
+
+def _majority(hashes: np.ndarray) -> int:
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), _BITS_AT_ONCE):
         part = hashes[at : at + _BITS_AT_ONCE].view(np.uint8).reshape(-1, 8)
@@ -76,6 +77,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return sum(1 << int(b) for b in set_bits)
 
 
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash of the text's word shingles, repeats included."""
+    return _majority(shingle_hashes(text, shingle))
+
+
 def with_fingerprints(docs: DataFrame, name: str, shingle: int = SHINGLE) -> DataFrame:
     """The table with one more column: the fingerprint as a signed long."""
     source = free_name(docs, "text_bytes")
@@ -336,94 +342,115 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
 # Near copies of a given similarity
 
 
-def passages(text: bytes) -> list[int]:
-    """Fingerprints of the text's passages: runs of words that end where the last two
-    words' hashes say so, so that an edit changes the passages it touches and no more."""
-    words = text.lower().split()
-    if len(words) <= LEAST_PASSAGE:
-        return [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    sums = np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words))
-    ends = np.flatnonzero((sums[1:] * np.uint32(31) + sums[:-1]) * np.uint32(0x9E3779B1) < PASSAGE_ENDS) + 2
-    out, begin = [], 0
-    for end in [*ends.tolist(), len(words)]:
-        if end - begin >= LEAST_PASSAGE or end == len(words):
-            out.append(xxhash.xxh64_intdigest(b" ".join(words[begin:end]), SEED))
-            begin = end
-    return out
-
-
-def _with_passages(docs: DataFrame, names: dict[str, str], shingle: int) -> DataFrame:
-    """The table with fingerprint, number of shingles and distinct passages of each text."""
+def _set_of(hashes: np.ndarray) -> np.ndarray:
+    """The distinct hashes in order; texts without words have one of their own."""
+    return np.unique(hashes) if len(hashes) else np.zeros(1, dtype="<u8")
+
+
+def _counted(hashes: np.ndarray) -> np.ndarray:
+    """The half of all shingles whose texts are counted; texts meet by these first."""
+    return hashes % 2 == 0
+
+
+def _with_sets(docs: DataFrame, names: dict[str, str], shingle: int) -> DataFrame:
+    """The table with the fingerprint of each text, the hash of its set of shingles
+    (its unit), their number, and how many of them are counted."""
     source, columns = free_name(docs, "text_bytes"), docs.columns
+    made = [names[k] for k in ("value", "unit", "size", "counted")]
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch[source].to_pylist()
-            prints = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
-            sizes = [max(1, len(t.split()) - shingle + 1) for t in texts]
-            found = [np.unique(np.array(passages(t), dtype=np.uint64)).view(np.int64) for t in texts]
+            numbers = []
+            for text in batch[source].to_pylist():
+                hashes = shingle_hashes(text, shingle)
+                own = _set_of(hashes)
+                unit = xxhash.xxh64_intdigest(own.tobytes(), SEED)
+                numbers.append((_majority(hashes), unit, len(own), int(_counted(own).sum())))
+            numbers = np.array(numbers, dtype=np.uint64).reshape(-1, 4).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch[c] for c in columns),
-                    pa.array(prints.view(np.int64)),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(found, pa.list_(pa.int64())),
-                ],
-                names=[*columns, names["value"], names["size"], names["passages"]],
+                [*(batch[c] for c in columns), *(pa.array(n.copy()) for n in numbers.T)],
+                names=[*columns, *made],
             )
 
-    schema = T.StructType(
-        [
-            *docs.schema.fields,
-            T.StructField(names["value"], T.LongType()),
-            T.StructField(names["size"], T.LongType()),
-            T.StructField(names["passages"], T.ArrayType(T.LongType())),
-        ]
-    )
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in made)])
     return map_batches(docs.withColumn(source, utf8("text")), added, schema)
 
 
+def _prefix(size: int, least: float) -> int:
+    """Of ``size`` shingles in any order that all texts follow, the first this many
+    hold one that a similar text has among its own first ones."""
+    return size - math.ceil(least * size - 1e-9) + 1
+
+
 def _may(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, near: int, least: float) -> np.ndarray:
-    """Whether rows i and j of one key can be similar by their sizes and fingerprints."""
+    """Whether rows i and j can be similar if their key is the first that they share:
+    by their sizes, by what comes after that key, and by their fingerprints."""
     one, two = rows["size"][i], rows["size"][j]
+    rest = np.minimum(one - rows["place"][i], two - rows["place"][j])
     bits = np.bitwise_count((rows["value"][i] ^ rows["value"][j]).view(np.uint64))
-    return (bits <= near) & (np.minimum(one, two) >= least * np.maximum(one, two))
+    good = np.minimum(one, two) >= least * np.maximum(one, two) - 1e-6
+    return good & (rest >= least / (1 + least) * (one + two) - 1e-6) & (bits <= near)
 
 
-def _runs(names: list[str], run: str, cut: int, pairs):
-    """Streams rows sorted by ``run``; yields what ``pairs`` finds in whole runs. A run
-    beyond ``cut`` rows is cut."""
+def _runs(names: list[str], run: str, cut: int, found):
+    """Streams rows sorted by ``run``; yields what is found in whole runs. A run beyond
+    ``cut`` rows is cut."""
 
-    def batch_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-        )
-
-    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {n: np.zeros(0, np.int64) for n in names}
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, new, n_new = {n: np.zeros(0, np.int64) for n in names}, [], 0
         for batch in batches:
-            held = {n: np.concatenate([h, batch[n].to_numpy()]) for n, h in held.items()}
-            if len(held[run]) < _BITS_AT_ONCE:
+            new.append(batch)
+            n_new += batch.num_rows
+            if n_new < max(_BITS_AT_ONCE, len(held[run])):
                 continue
+            held = {n: np.concatenate([h, *(b[n].to_numpy() for b in new)]) for n, h in held.items()}
+            new, n_new = [], 0
             end = int(np.searchsorted(held[run], held[run][-1]))
             if len(held[run]) - end > cut:
                 end = len(held[run])
             if end:
-                yield from (batch_of(a, b) for a, b in pairs({n: h[:end] for n, h in held.items()}))
+                yield from found({n: h[:end] for n, h in held.items()})
                 held = {n: h[end:] for n, h in held.items()}
+        held = {n: np.concatenate([h, *(b[n].to_numpy() for b in new)]) for n, h in held.items()}
         if len(held[run]):
-            yield from (batch_of(a, b) for a, b in pairs(held))
+            yield from found(held)
+
+    return streamed
+
 
-    return paired
+def _pairs_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+    )
+
+
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _shared(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The keys that several units have, with the number of these."""
+    once = _begins(rows["key"], rows["unit"])
+    rows = {n: r[once] for n, r in rows.items()}
+    begins = _begins(rows["key"])
+    counts = np.diff(np.append(begins, len(once)))
+    n = np.repeat(counts, counts)
+    rows = [rows["key"], rows["unit"], rows["place"], n]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(r[n > 1].astype(np.int64)) for r in rows], names=["key", "unit", "place", "n"]
+    )
 
 
 def _first_pairs(near: int, least: float):
     """Of keys of up to ``CROWD`` rows all pairs; in a crowd those of each row with the
     next ones by size, and with the first, which leaves work in proportion to the rows."""
 
-    def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         keys = rows["key"]
-        begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        begins = _begins(keys)
         counts = np.diff(np.append(begins, len(keys)))
         crowded = np.repeat(counts, counts) > CROWD
         at = np.arange(len(keys))
@@ -431,20 +458,20 @@ def _first_pairs(near: int, least: float):
             at = at[at + shift < len(keys)]
             at = at[(keys[at] == keys[at + shift]) & (~crowded[at] | (shift <= NEXT))]
             found = at[_may(rows, at, at + shift, near, least)]
-            yield rows["row"][found], rows["row"][found + shift]
+            yield _pairs_of(rows["unit"][found], rows["unit"][found + shift])
         first = np.repeat(begins, counts)
         at = np.flatnonzero(crowded & (np.arange(len(keys)) - first > NEXT))
         found = at[_may(rows, first[at], at, near, least)]
-        yield rows["row"][first[found]], rows["row"][found]
+        yield _pairs_of(rows["unit"][first[found]], rows["unit"][found])
 
-    return _runs(["key", "row", "value", "size"], "key", 16 * _BITS_AT_ONCE, pairs)
+    return _runs(["key", "unit", "value", "size", "place"], "key", 16 * _BITS_AT_ONCE, pairs)
 
 
 def _other_pairs(near: int, least: float):
     """All pairs of a group that are on different sides and not linked yet."""
 
-    def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        groups, ids = rows["group"], rows["row"]
+    def pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        groups, ids = rows["group"], rows["unit"]
         ends = np.searchsorted(groups, groups, side="right")
         left, right, held = [], [], 0
         for i in range(len(groups)):
@@ -455,20 +482,20 @@ def _other_pairs(near: int, least: float):
             right.append(ids[j])
             held += len(j)
             if held > _HELD_LINKS:
-                yield np.concatenate(left), np.concatenate(right)
+                yield _pairs_of(np.concatenate(left), np.concatenate(right))
                 left, right, held = [], [], 0
         if held:
-            yield np.concatenate(left), np.concatenate(right)
+            yield _pairs_of(np.concatenate(left), np.concatenate(right))
 
-    return _runs(["group", "row", "value", "size", "side", "component"], "group", 1 << 62, pairs)
+    return _runs(["group", "unit", "value", "size", "place", "side", "component"], "group", 1 << 62, pairs)
 
 
 def _crowds(dealt: DataFrame, reached: DataFrame) -> DataFrame:
     """The rows of crowds that are not linked as a whole, in groups of two blocks each:
     each pair of a crowd is in one group, on different sides of it."""
     c = F.col
-    named = dealt.join(reached.withColumnRenamed("node", "row"), "row", "left").withColumn(
-        "component", F.coalesce("component", "row")
+    named = dealt.join(reached.withColumnRenamed("node", "value"), "value", "left").withColumn(
+        "component", F.coalesce("component", "value")
     )
     open_keys = (
         named.groupBy("key")
@@ -476,31 +503,34 @@ def _crowds(dealt: DataFrame, reached: DataFrame) -> DataFrame:
         .filter((c("n") > CROWD) & (c("lo") != c("hi")))
         .select("key", F.ceil(c("n") / BLOCK).alias("blocks"))
     )
-    block = F.pmod(F.xxhash64("row"), c("blocks"))
+    block = F.pmod(F.xxhash64("unit"), c("blocks"))
     met = named.join(open_keys, "key").withColumn("block", block)
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), c("blocks") - 1)))
     group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
     # within one block every row is a side of its own
-    side = F.when(c("block") == c("other"), c("row")).otherwise(c("block"))
+    side = F.when(c("block") == c("other"), c("unit")).otherwise(c("block"))
     return met.select(group.alias("group"), side.alias("side"), *dealt.columns, "component")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs whose sets of word shingles are similar enough (Jaccard)."""
+def _similar(pairs: DataFrame, units: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs of units whose sets of word shingles are similar enough (Jaccard)."""
     c = F.col
-    needed = pairs.select(c("a").alias("row")).union(pairs.select("b")).distinct()
-    some = stored(texts.join(needed, "row", "left_semi"), "alike_texts")
-    met = pairs.join(some.select(c("row").alias("a"), c("text").alias("left")), "a").join(
-        some.select(c("row").alias("b"), c("text").alias("right")), "b"
+    needed = pairs.select(c("a").alias("unit")).union(pairs.select("b")).distinct()
+    needed = units.join(needed, "unit", "left_semi").select("unit", "row")
+    some = texts.select("row", utf8("text").alias("text")).join(needed, "row")
+    some = stored(some.select("unit", "text"), "alike_texts")
+    met = pairs.join(some.select(c("unit").alias("a"), c("text").alias("left")), "a").join(
+        some.select(c("unit").alias("b"), c("text").alias("right")), "b"
     )
 
-    def shingles(text: bytes) -> set:
-        words = text.lower().split()
-        if len(words) <= shingle:
-            return {tuple(words)}
-        return set(zip(*(words[k:] for k in range(shingle)), strict=False))
-
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(16)
+        def shingles(text: bytes) -> set:
+            words = text.lower().split()
+            if len(words) <= shingle:
+                return {tuple(words)}
+            return set(zip(*(words[k:] for k in range(shingle)), strict=False))
+
         for batch in batches:
             good = []
             for left, right in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True):
@@ -512,58 +542,103 @@ def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     return map_batches(met.select("a", "b", "left", "right"), compared, "a long, b long")
 
 
-def _telling(rows: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The passages (key, row, value, size) by which similar texts find each other.
+def _dealt(texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Rows (key, unit, place): the counted shingles of each text, whose place follows
+    from their numbers, and as many others, by hash, as its prefix needs beyond these."""
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in (keys, units, places)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c.astype(np.int64)) for c in columns], names=["key", "unit", "place"]
+            )
 
-    An edit changes at most ``shingle`` shingles and two passages, so texts of the
-    similarity share all passages but two for each edit that it allows. Then they
-    also share one of that many and one of their rarest ones, and need not meet by
-    a passage that many texts hold. Passages of one text only count as the rarest.
+        for batch in batches:
+            keys, units, places, held = [], [], [], 0
+            for text, unit in zip(batch["text"].to_pylist(), batch["unit"].to_pylist(), strict=True):
+                hashes = _set_of(shingle_hashes(text, shingle))
+                counted = _counted(hashes)
+                first, other = hashes[counted], hashes[~counted]
+                other = other[: max(0, _prefix(len(hashes), least) - len(first))]
+                keys += [first.view(np.int64), other.view(np.int64)]
+                units.append(np.full(len(first) + len(other), unit))
+                places += [np.full(len(first), -1), len(first) + np.arange(len(other))]
+                held += len(units[-1])
+                if held > _HELD_LINKS:
+                    yield batch_of()
+                    keys, units, places, held = [], [], [], 0
+            if held:
+                yield batch_of()
+
+    source = texts.select("unit", utf8("text").alias("text"))
+    return map_batches(source, dealt, "key long, unit long, place long")
+
+
+def _telling(units: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The shingles (key, unit, value, size, place) by which similar texts find each other.
+
+    All texts order their distinct shingles alike: the counted ones first, rarest
+    first, then the others by hash. Two texts of the similarity share one of the first
+    n - ceil(least * n) + 1 of each. Shingles of one text only keep their place, but
+    need not be dealt.
     """
     c = F.col
-    keyed = rows.select(F.explode("passages").alias("key"), "row")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter(c("n") > 1)
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _dealt(texts, shingle, least).repartition(parts, "key").sortWithinPartitions("key", "unit")
+    shared = map_batches(
+        dealt, _runs(["key", "unit", "place"], "key", 1 << 62, _shared),
+        "key long, unit long, place long, n long",
+    )
+    shared = stored(shared, "shared")
     listed = (
-        keyed.join(shared, "key")
-        .groupBy("row")
+        shared.filter("place < 0")
+        .groupBy("unit")
         .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("shared"))
     )
-    edits = F.floor(c("size") * ((1 - least) / (shingle * (1 + least)) + 1e-9))
-    own = F.size("passages") - F.size("shared")
-    kept = F.greatest(2 * edits + 1 - own, F.lit(0)).cast("int")
-    return rows.join(listed, "row").select(
-        F.explode(F.slice("shared", F.lit(1), kept)["key"]).alias("key"), "row", "value", "size"
+    own = c("counted") - F.size("shared")
+    prefix = c("size") - F.ceil(c("size") * least - 1e-9) + 1
+    first = F.slice("shared", F.lit(1), F.greatest(prefix - own, F.lit(0)).cast("int"))["key"]
+    columns = ["key", "unit", "value", "size", "place"]
+    counted = units.join(listed, "unit").select(
+        "unit", "value", "size", own.alias("own"), F.posexplode(first).alias("at", "key")
     )
+    others = shared.filter("place >= 0").join(units, "unit")
+    return counted.withColumn("place", c("own") + c("at")).select(columns).union(others.select(columns))
 
 
 def similar_links(
-    numbers: DataFrame,
+    units: DataFrame,
     texts: DataFrame,
     linked: DataFrame,
     shingle: int = SHINGLE,
     similarity: float = SIMILAR,
     near: int = ALIKE,
 ) -> DataFrame:
-    """Links (a, b) between ``row``s of similar text: numbers (row, value, size, passages)
-    of distinct fingerprints, texts (row, text) of at least these rows, and the links
-    (a, b) known so far. Together with these they connect what all pairs would.
+    """Links (a, b) between the ``value``s of similar texts: units (unit, row, value,
+    size, counted), all texts (row, unit, text), and the links (a, b) of values known so
+    far. Together with these they connect what all pairs would.
 
-    Texts that share a telling passage are compared by their whole sets of shingles;
+    Texts that share a telling shingle are compared by their whole sets of shingles;
     only those that pass the counts are fetched. A crowd is compared in two rounds, so
     that texts that the first one linked are not compared again.
     """
-    parts = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = texts.select("row", utf8("text").alias("text"))
-    dealt = stored(_telling(numbers, shingle, similarity), "telling")
-    ordered = dealt.repartition(parts, "key").sortWithinPartitions("key", "size", "row")
-    pairs = map_batches(ordered, _first_pairs(near, similarity), "a long, b long").distinct()
-    first = stored(_similar(stored(pairs, "alike"), whole, shingle, similarity), "similar")
-    if dealt.groupBy("key").count().filter(F.col("count") > CROWD).isEmpty():
+    c = F.col
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        alike = _similar(stored(pairs.distinct(), "alike"), units, texts, shingle, similarity)
+        one, two = (units.select(c("unit").alias(k), c("value").alias(f"value_{k}")) for k in "ab")
+        named = alike.join(one, "a").join(two, "b")
+        return stored(named.select(c("value_a").alias("a"), c("value_b").alias("b")), "similar")
+
+    dealt = stored(_telling(units, texts, shingle, similarity), "telling")
+    ordered = dealt.repartition(parts, "key").sortWithinPartitions("key", "size", "unit")
+    first = links_of(map_batches(ordered, _first_pairs(near, similarity), "a long, b long"))
+    if dealt.groupBy("key").count().filter(c("count") > CROWD).isEmpty():
         return first
     rest = _crowds(dealt, components(first.union(linked)))
     ordered = rest.repartition(parts, "group").sortWithinPartitions("group")
-    pairs = map_batches(ordered, _other_pairs(near, similarity), "a long, b long").distinct()
-    return first.union(_similar(stored(pairs, "alike"), whole, shingle, similarity))
+    return first.union(links_of(map_batches(ordered, _other_pairs(near, similarity), "a long, b long")))
 
 
 def keep_one(
@@ -576,10 +651,9 @@ def keep_one(
     doc_ids are told apart by their text; of equal rows one stays.
     """
     columns = docs.columns
-    names = {k: free_name(docs, f"simhash_{k}") for k in ("value", "size", "passages", "row")}
-    rows = _with_passages(docs, names, shingle).withColumn(
-        names["row"], F.monotonically_increasing_id()
-    )
+    made = ("value", "unit", "size", "counted", "row")
+    names = {k: free_name(docs, f"simhash_{k}") for k in made}
+    rows = _with_sets(docs, names, shingle).withColumn(names["row"], F.monotonically_increasing_id())
     rows = stored(rows, "fingerprints")
     own = rows.select(*(F.col(names[k]).alias(k) for k in names), "doc_id", "text")
     keys = own.select(
@@ -589,21 +663,14 @@ def keep_one(
     )
     edges = links(keys.select("value").distinct(), bucket)
     if similarity is not None:
-        # one row of each fingerprint stands for all with it
-        first = keys.groupBy("value").agg(F.min("row").alias("row")).select("row")
-        numbers = own.select("row", "value", "size", "passages").join(first, "row", "left_semi")
-        numbers = stored(numbers, "distinct")
-        value = numbers.select("row", "value")
-        known = (
-            edges.join(value.select(F.col("row").alias("left"), F.col("value").alias("a")), "a")
-            .join(value.select(F.col("row").alias("right"), F.col("value").alias("b")), "b")
-            .select(F.col("left").alias("a"), F.col("right").alias("b"))
-        )
-        alike = similar_links(numbers, own.select("row", "text"), known, shingle, similarity)
+        # one row of each set of shingles stands for all with it, whatever they repeat
+        least = [F.min(k).alias(k) for k in ("row", "value", "size", "counted")]
+        units = stored(own.groupBy("unit").agg(*least), "distinct")
+        same = own.select("unit", F.col("value").alias("a")).distinct()
+        same = same.join(units.select("unit", F.col("value").alias("b")), "unit").select("a", "b")
+        edges = edges.union(same.filter("a != b"))
         edges = edges.union(
-            alike.join(value.select(F.col("row").alias("a"), F.col("value").alias("left")), "a")
-            .join(value.select(F.col("row").alias("b"), F.col("value").alias("right")), "b")
-            .select("left", "right")
+            similar_links(units, own.select("row", "unit", "text"), edges, shingle, similarity)
         )
     reached = components(edges).select(F.col("node").alias("value"), "component")
     first = (

@@ -262,6 +262,26 @@ def test_a_similar_pair_is_found_among_nearer_fingerprints(spark):
     assert sorted(r.doc_id for r in kept.collect()) == want
 
 
+def sole(rows, k):
+    """The smaller of the two rows if they are similar by Jaccard alone, else the row."""
+    return k & ~1 if jaccard(rows[k & ~1][1], rows[k | 1][1]) >= 0.8 else k
+
+
+@pytest.mark.parametrize("added", ["before", "after"])
+def test_words_added_at_an_end(spark, added):
+    draw, rows = random.Random(7), []
+    for size in [*range(10, 101, 5), 54]:
+        for more in (1, 2, size // 6):
+            words, own = ([f"w{draw.randrange(10**9)}" for _ in range(n)] for n in (size, more))
+            longer = own + words if added == "before" else words + own
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(longer))]
+    root = [sole(rows, k) for k in range(len(rows))]
+    want = sorted(set(root))
+    assert len(want) < len(rows) * 0.6
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
 # Decontamination
 
 
