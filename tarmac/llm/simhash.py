@@ -14,7 +14,7 @@ kept, never all its pairs.
 
 ``keep_one`` also links texts that share four fifths of their shingles, whose
 fingerprints mostly lie further apart: they meet by their rarest shingles, of which
-such texts share one, are pruned by the difference of their fingerprints, and
+such texts share one, are pruned by the numbers of their distinct shingles, and
 compared shingle by shingle.
 
 A bucket beyond a fixed size is dealt again: of its other 36 bits, three of six
@@ -44,8 +44,8 @@ SHINGLE, SEED, NEAR = 5, 42, 3
 SEGMENTS, WIDTH = 8, 8
 #: Distinct fingerprints that are compared in one bucket; larger ones are dealt again.
 BUCKET = 2048
-#: Similarity of near copies, and the bits that fingerprints of such texts may differ in.
-SIMILAR, ALIKE = 0.8, 24
+#: Similarity of near copies.
+SIMILAR = 0.8
 #: Rows of a key that are compared at once. In larger crowds each row is compared with
 #: the next few first, then with all that this did not link, in blocks of rows.
 CROWD, NEXT, BLOCK = 64, 4, 1024
@@ -382,14 +382,13 @@ def _prefix(size: int, least: float) -> int:
     return size - math.ceil(least * size - 1e-9) + 1
 
 
-def _may(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, near: int, least: float) -> np.ndarray:
+def _may(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
     """Whether rows i and j can be similar if their key is the first that they share:
-    by their sizes, by what comes after that key, and by their fingerprints."""
+    by their sizes and by what comes after that key."""
     one, two = rows["size"][i], rows["size"][j]
     rest = np.minimum(one - rows["place"][i], two - rows["place"][j])
-    bits = np.bitwise_count((rows["value"][i] ^ rows["value"][j]).view(np.uint64))
     good = np.minimum(one, two) >= least * np.maximum(one, two) - 1e-6
-    return good & (rest >= least / (1 + least) * (one + two) - 1e-6) & (bits <= near)
+    return good & (rest >= least / (1 + least) * (one + two) - 1e-6)
 
 
 def _runs(names: list[str], run: str, cut: int, found):
@@ -444,7 +443,7 @@ def _shared(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _first_pairs(near: int, least: float):
+def _first_pairs(least: float):
     """Of keys of up to ``CROWD`` rows all pairs; in a crowd those of each row with the
     next ones by size, and with the first, which leaves work in proportion to the rows."""
 
@@ -457,17 +456,17 @@ def _first_pairs(near: int, least: float):
         for shift in range(1, CROWD):
             at = at[at + shift < len(keys)]
             at = at[(keys[at] == keys[at + shift]) & (~crowded[at] | (shift <= NEXT))]
-            found = at[_may(rows, at, at + shift, near, least)]
+            found = at[_may(rows, at, at + shift, least)]
             yield _pairs_of(rows["unit"][found], rows["unit"][found + shift])
         first = np.repeat(begins, counts)
         at = np.flatnonzero(crowded & (np.arange(len(keys)) - first > NEXT))
-        found = at[_may(rows, first[at], at, near, least)]
+        found = at[_may(rows, first[at], at, least)]
         yield _pairs_of(rows["unit"][first[found]], rows["unit"][found])
 
-    return _runs(["key", "unit", "value", "size", "place"], "key", 16 * _BITS_AT_ONCE, pairs)
+    return _runs(["key", "unit", "size", "place"], "key", 16 * _BITS_AT_ONCE, pairs)
 
 
-def _other_pairs(near: int, least: float):
+def _other_pairs(least: float):
     """All pairs of a group that are on different sides and not linked yet."""
 
     def pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -477,7 +476,7 @@ def _other_pairs(near: int, least: float):
         for i in range(len(groups)):
             j = np.arange(i + 1, ends[i])
             j = j[(rows["side"][j] != rows["side"][i]) & (rows["component"][j] != rows["component"][i])]
-            j = j[_may(rows, np.full(len(j), i), j, near, least)]
+            j = j[_may(rows, np.full(len(j), i), j, least)]
             left.append(np.full(len(j), ids[i]))
             right.append(ids[j])
             held += len(j)
@@ -487,7 +486,7 @@ def _other_pairs(near: int, least: float):
         if held:
             yield _pairs_of(np.concatenate(left), np.concatenate(right))
 
-    return _runs(["group", "unit", "value", "size", "place", "side", "component"], "group", 1 << 62, pairs)
+    return _runs(["group", "unit", "size", "place", "side", "component"], "group", 1 << 62, pairs)
 
 
 def _crowds(dealt: DataFrame, reached: DataFrame) -> DataFrame:
@@ -612,7 +611,6 @@ def similar_links(
     linked: DataFrame,
     shingle: int = SHINGLE,
     similarity: float = SIMILAR,
-    near: int = ALIKE,
 ) -> DataFrame:
     """Links (a, b) between the ``value``s of similar texts: units (unit, row, value,
     size, counted), all texts (row, unit, text), and the links (a, b) of values known so
@@ -633,12 +631,12 @@ def similar_links(
 
     dealt = stored(_telling(units, texts, shingle, similarity), "telling")
     ordered = dealt.repartition(parts, "key").sortWithinPartitions("key", "size", "unit")
-    first = links_of(map_batches(ordered, _first_pairs(near, similarity), "a long, b long"))
+    first = links_of(map_batches(ordered, _first_pairs(similarity), "a long, b long"))
     if dealt.groupBy("key").count().filter(c("count") > CROWD).isEmpty():
         return first
     rest = _crowds(dealt, components(first.union(linked)))
     ordered = rest.repartition(parts, "group").sortWithinPartitions("group")
-    return first.union(links_of(map_batches(ordered, _other_pairs(near, similarity), "a long, b long")))
+    return first.union(links_of(map_batches(ordered, _other_pairs(similarity), "a long, b long")))
 
 
 def keep_one(

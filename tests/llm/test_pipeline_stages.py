@@ -282,6 +282,21 @@ def test_words_added_at_an_end(spark, added):
     assert sorted(r.doc_id for r in kept.collect()) == want
 
 
+def test_repeated_lines_do_not_part_similar_texts(spark):
+    draw, rows = random.Random(13), []
+    for size, line, times in [(60, 8, 40), (200, 12, 60), (400, 30, 200), (30, 5, 300)] * 4:
+        words = [f"w{draw.randrange(10**9)}" for _ in range(size)]
+        at = draw.randrange(size - line)
+        repeated = words[at : at + line] * times
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words + repeated))]
+    prints = [slow_fingerprint(t, 5) for _, t in rows]
+    assert any((a ^ b).bit_count() > 24 for a, b in zip(prints[::2], prints[1::2], strict=True))
+    want = sorted({sole(rows, k) for k in range(len(rows))})
+    assert len(want) < len(rows) * 0.8
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
 # Decontamination
 
 
