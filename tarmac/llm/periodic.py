@@ -78,10 +78,10 @@ class _Chains:
         """Distances to the earlier places, without the multiples of an established run."""
         for first, last, step in reversed(self.parts):
             near = place - last
+            matched = active.get(near, 0)
             yield near
             if step == 0:
                 continue
-            matched = active.get(near, 0)
             at = last - step
             if near == step and matched >= near:
                 # inside the run of this period: skip to the places before its start
@@ -118,10 +118,14 @@ def runs_of(named: list[int], repeated: list[int], gram: int, least: int) -> lis
         if chains is None:
             seen[named[place]] = _Chains(place)
         else:
+            # a lag from before the established run may go on beyond its end
+            fresh = {lag: n + 1 for lag, n in active.items() if named[place - lag] == named[place]}
             for lag in chains.lags(place, active, gram):
-                fresh[lag] = active.pop(lag, gram - 1) + 1
+                # a new lag that matched at the place before was passed over there
+                if lag not in fresh and (place - lag < gram or named[place - 1 - lag] != named[place - 1]):
+                    fresh[lag] = gram
             chains.add(place)
-        end(place, active)
+        end(place, {lag: n for lag, n in active.items() if lag not in fresh})
         active, before = fresh, place
     end(before + 1, active)
     return sorted((start, length, period) for (start, length), period in found.items())

@@ -14,6 +14,7 @@ from tarmac.llm import (
     maxent,
     neighbours,
     packing,
+    periodic,
     quality,
     simhash,
     warc,
@@ -184,3 +185,33 @@ where embedding is null or len(embedding) = 0 or list_count(embedding) <> len(em
 @query
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.document_licences(read(spark, folder, "documents"))
+
+
+WORD = "[^\\x20\\x09-\\x0D]+"
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    # every tenth text repeats its words from a on with period p
+    cut = docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    cut = cut.withColumn("n", F.size("words")).filter("h % 10 = 0 and n > 0")
+    cut = cut.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.col("g") % F.col("n"))
+    cut = cut.withColumn("p", F.expr("1 + floor((n - a) / (3 + g % 8))"))
+    cycled = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)])), ' ')")
+    cycled = cut.select("doc_id", cycled.alias("text"))
+    plain = docs.withColumn("h", h).filter((F.col("h") % 10 != 0) | (F.size(words) <= 0) | F.col("text").isNull())
+    found = periodic.periodic_runs(plain.select("doc_id", "text").union(cycled))
+    best = periodic.longest()
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-best["start"]).alias("start"),
+        best["length"].alias("length"),
+        (-best["period"]).alias("period"),
+        F.floor(1000 * best["length"] / -best["period"]).alias("exponent_milli"),
+        "runs_sha256",
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
