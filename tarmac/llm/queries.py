@@ -17,6 +17,7 @@ from tarmac.llm import (
     periodic,
     quality,
     simhash,
+    toxicity,
     warc,
     wrappers,
 )
@@ -215,3 +216,9 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         "runs_sha256",
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_toxicity_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, folder, "labels")))
