@@ -15,13 +15,14 @@ from tarmac.llm import (
     neighbours,
     packing,
     periodic,
+    prefixes,
     quality,
     simhash,
     toxicity,
     warc,
     wrappers,
 )
-from tarmac.llm.common import read
+from tarmac.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -222,3 +223,13 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 def op12_toxicity_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read(spark, folder, "labels")))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    own = stored(prefixes.sequences(read(spark, folder, "conversations")), "conversations")
+    heads = own.filter("conv_id % 100 = 0").selectExpr("conv_id as base", "slice(steps, 1, 5) as head")
+    cut = own.withColumn("base", F.expr("conv_id - conv_id % 100"))
+    cut = cut.withColumn("h", F.expr("cast(crc32(cast(cast(conv_id as string) as binary)) % 6 as int)"))
+    rebuilt = "concat(slice(coalesce(head, slice(steps, 1, 0)), 1, h), slice(steps, h + 1, greatest(size(steps) - h, 0)))"
+    return prefixes.trie(cut.join(heads, "base", "left").selectExpr("conv_id", f"{rebuilt} as steps"))
