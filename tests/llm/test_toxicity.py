@@ -26,6 +26,20 @@ def test_neighbouring_hits_and_exceptions(spark):
     assert scores(spark, model, "idiot " + "calm " * 100_000)[0] < 0.5
 
 
+def test_entries_that_meet_in_a_word():
+    kept = toxicity._apart([("idio*", 5, 9), ("idiot", 5, 9), ("lowe*", 4, 8), ("lowei*", 4, 8), ("loweis", 4, 3)])
+    assert set(kept) == {"idiot", "lowei*"}
+
+
+def test_stems_and_exceptions_are_learned(spark):
+    texts = [(i, f"calm words zorbel{chr(97 + i % 20)}k and mud", 1) for i in range(200)]
+    texts += [(i, f"calm words about a mud bath and w{i}", 0) for i in range(200, 400)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.drop("toxic"), df.drop("text"))
+    assert list(model.words) == ["zorbel*"] and model.exceptions == {}
+    assert [s > 0.5 for s in scores(spark, model, "Z0RBELxyz!", "a zorb", "mud")] == [True, False, False]
+
+
 def test_awkward_rows(spark):
     docs = documents(spark, extra=True)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
