@@ -23,6 +23,7 @@ from tarmac.operators.responses import (
     request_batches,
     request_items,
     resolved_addresses,
+    unreadable_responses,
 )
 from tarmac.plans.flood import build_flood_risk
 from tarmac.plans.geocode import build_geocoded
@@ -54,12 +55,13 @@ def geocoded(tb: Testbed) -> DataFrame:
     "geo_attempts",
     with_tables("""
 select cast(id as varchar) as id, address, retry as deciding_retry, step as deciding_step,
-       status, reason
+       status, reason, coalesce(status < 400, false) and not garbled as answered
 from attempts
 qualify row_number() over (
   partition by id, address
-  order by coalesce(status < 400, false) desc,
-           case when status < 400 then retry * 10 + step else -retry * 10 - step end) = 1"""),
+  order by coalesce(status < 400, false) and not garbled desc,
+           case when status < 400 and not garbled then retry * 10 + step
+                else -retry * 10 - step end) = 1"""),
 )
 def geo_attempts(tb):
     outcomes = final_outcomes(tb.geocode_log().withColumn("id", F.col("id").cast("string")))
@@ -155,6 +157,17 @@ def flood_flatten_scores(tb):
     return flat_scores(tb.flood_scores()).drop("position")
 
 
+@query(
+    "flood_dead_letters",
+    with_tables("""
+select c_custkey // 10 as batch_id, '[{"id":"' || c_custkey || '"},{"id":"' as body,
+       'unreadable answer: [{"id":"' || c_custkey || '"},{"id":"' as error
+from customer where c_custkey % 100 = 0"""),
+)
+def flood_dead_letters(tb):
+    return unreadable_responses(tb.flood_depths())
+
+
 @query("flood_merge", select(f"address_id, {DEPTHS}, {SCORES}", "merged"))
 def flood_merge(tb):
     return merge_depths_and_scores(flat_depths(tb.flood_depths()), flat_scores(tb.flood_scores()))

@@ -476,17 +476,24 @@ select * from (values
 TABLES["attempts"] = """
 select id, address, retry, step, status,
        case status when 200 then 'OK' when 400 then 'Bad Request' when 429 then 'Too Many Requests'
-            when 503 then 'Service Unavailable' else 'Connection refused' end as reason
-from addresses join requests on kind = id % 12 where address <> ''"""
+            when 503 then 'Service Unavailable' else 'Connection refused' end as reason,
+       coalesce(status = 200 and retry = 1 and id % 5 = 4, false) as garbled
+from addresses join requests on kind = id % 12 where address <> ''
+union all
+select id, address, 9, 0, 200, 'OK', false
+from addresses where address <> '' and id % 10 = 9"""
 
 TABLES["resolved"] = """
 select distinct cast(a.id as varchar) as id, a.address as "inputAddress", a.id as key,
        case when a.address = '' then 'empty address'
+            when a.id % 12 in (0, 1, 2, 4) and a.id % 10 = 4
+              then 'unreadable answer: ' || case when a.id % 4 = 0 then '{"results":[{"type":"Poi'
+                                                 else '<html>busy</html>' end
             when a.id % 12 = 6 then 'rate limited'
-            when a.id % 12 = 9 then 'Connection refused'
-            when a.id % 12 = 5
+            when a.id % 12 = 9 and a.id % 10 <> 9 then 'Connection refused'
+            when a.id % 12 = 5 and a.id % 10 <> 9
               then '503 Service Unavailable: refused ' || a.id || ' ' || repeat('x', 320)
-            when a.id % 12 = 11
+            when a.id % 12 = 11 and a.id % 10 <> 9
               then '400 Bad Request: refused ' || a.id || ' ' || repeat('x', 320)
             when a.id % 6 = 0 then 'no results' end as error
 from addresses a"""
@@ -532,13 +539,15 @@ SCORE_NAMES = [
 TABLES["flood_attempts"] = """
 with batches as (select distinct c_custkey // 10 as batch_id from customer),
 kinds as (
-  select *, batch_id % 5 as kind, batch_id % 7 <> 6 as asked, count(*) over () as n from batches)
-select batch_id, asked and kind < 3 as answered,
+  select *, batch_id % 5 as kind, batch_id % 7 <> 6 as asked, count(*) over () as n,
+         batch_id % 10 = 5 as garbled from batches)
+select batch_id, asked and kind < 3 and not garbled as answered,
        case when not asked then null when kind = 0 then 1 when kind in (1, 4) then 2
             when kind = 2 then 3 else 4 end as deciding_retry,
        case when not asked or kind = 4 then null when kind = 3 then 500 else 200 end as status,
-       case when asked and kind < 3 then '[]' end as body,
+       case when asked and kind < 3 and not garbled then '[]' end as body,
        case when not asked then 'no attempt'
+            when garbled then '[batch ' || batch_id || '/' || n || '] unreadable answer: [{"id":"7"},{'
             when kind = 3 then '[batch ' || batch_id || '/' || n || '] 500 Down: try later'
             when kind = 4 then '[batch ' || batch_id || '/' || n || '] Timed out' end as error
 from kinds"""

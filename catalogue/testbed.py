@@ -265,6 +265,12 @@ class Testbed:
             .filter(F.col("address") != "")
             .select("id", "address", F.inline(F.get(lists, (key % 12).cast("int"))))
         )
+        # one in ten is asked once more, long after
+        late = self.addresses().filter((F.col("address") != "") & (key % 10 == 9))
+        tried = tried.union(
+            late.select("id", "address", F.lit(9), F.lit(0), F.lit(200))
+        )
+        garbled = (F.col("status") == 200) & (F.col("retry") == 1) & (key % 5 == 4)
         reason = (
             F.when(F.col("status") == 200, "OK")
             .when(F.col("status") == 400, "Bad Request")
@@ -310,7 +316,8 @@ class Testbed:
             "step",
             "status",
             reason.alias("reason"),
-            F.when(F.col("status") == 200, found)
+            F.when(garbled, F.when(key % 4 == 0, '{"results":[{"type":"Poi').otherwise("<html>busy</html>"))
+            .when(F.col("status") == 200, found)
             .when(F.col("status").isNotNull(), refused)
             .alias("body"),
         )
@@ -362,7 +369,9 @@ class Testbed:
                 (F.col("pos") + 1).alias("retry"),
                 "status",
                 F.when(status == 200, "OK").when(status.isNull(), "Timed out").otherwise("Down").alias("reason"),
-                F.when(status == 200, "[]").when(status.isNotNull(), "try later").alias("body"),
+                F.when((status == 200) & (batch % 10 == 5), '[{"id":"7"},{')
+                .when(status == 200, "[]")
+                .when(status.isNotNull(), "try later").alias("body"),
             )
         )
 
@@ -414,7 +423,12 @@ class Testbed:
         )
         # the depth service knows nothing about one market segment in debt
         known = ~((F.col("c_mktsegment") == "MACHINERY") & (F.col("c_acctbal") < 4000))
-        return self._flood_items(known, item)
+        # a few bodies broke off on the way
+        broken = self.table("customer").filter(key % 100 == 0).select(
+            F.floor(key / 10).alias("batch_id"),
+            F.concat(F.lit('[{"id":"'), key.cast("string"), F.lit('"},{"id":"')).alias("body"),
+        )
+        return self._flood_items(known, item).unionByName(broken)
 
 
 DERIVED = (

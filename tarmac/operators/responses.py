@@ -29,12 +29,13 @@ from tarmac.schemas import (
 
 # Fixed values of the request rules.
 MAX_ATTEMPTS = 3
-EMPTY_ADDRESS, NO_RESULTS, RATE_LIMITED, NO_ATTEMPT, NO_ANSWER = (
+EMPTY_ADDRESS, NO_RESULTS, RATE_LIMITED, NO_ATTEMPT, NO_ANSWER, UNREADABLE = (
     "empty address",
     "no results",
     "rate limited",
     "no attempt",
     "no answer",
+    "unreadable answer: ",
 )
 # A log row is one request: the retry it belongs to, and within a retry the step,
 # which counts the requests with fewer parameters. status is null, and reason the
@@ -46,9 +47,19 @@ ITEMS_PER_BATCH, BATCHES_PER_WAVE = 10, 100
 COUNTRY_CODE = "ZA"
 
 
+def readable(body: str | Column = "body") -> Column:
+    """Whether a body is one JSON value from its first to its last sign; an empty or
+    missing one is not. As the only entry of a list it leaves no room for a rest."""
+    entry = F.concat(F.lit("["), F.col(body) if isinstance(body, str) else body, F.lit("]"))
+    return F.coalesce(F.json_array_length(entry) == 1, F.lit(False))
+
+
 def succeeded() -> Column:
-    """An answer below 400; a request that never got a status has failed."""
-    return F.coalesce(F.col("status") < 400, F.lit(False))
+    """A readable answer below 400; a request that never got a status has failed.
+
+    Only bodies of such answers are parsed.
+    """
+    return F.when(F.col("status") < 400, readable()).otherwise(F.lit(False))
 
 
 def final_outcomes(
@@ -56,18 +67,21 @@ def final_outcomes(
 ) -> DataFrame:
     """What the logged requests of each key came to: the first success, else the last failure.
 
+    ``answered`` tells which; an answer that cannot be read is a failure.
     The log may hold any number of requests. Each map task sends one request of
     a key at most.
     """
-    success = succeeded()
+    success = F.col("_answered")
     places = [F.when(success, F.col(c)).otherwise(-F.col(c)) for c in order]
     window = Window.partitionBy(*key).orderBy(success.desc(), *places)
     return (
-        attempts.withColumn("_place", F.row_number().over(window))
+        attempts.withColumn("_answered", succeeded())
+        .withColumn("_place", F.row_number().over(window))
         .filter(F.col("_place") == 1)
         .select(
             *key,
             *[F.col(c).alias(f"deciding_{c}") for c in order],
+            success.alias("answered"),
             "status",
             "reason",
             "body",
@@ -90,6 +104,7 @@ def failure_text(max_text: int | None = None) -> Column:
                 status.cast("string"), F.lit(" "), F.coalesce("reason", F.lit("")), F.lit(": "), text
             ),
         )
+        .when(~F.col("answered"), F.concat(F.lit(UNREADABLE), text))
     )
 
 
@@ -244,8 +259,25 @@ def request_batches(
     )
 
 
+def _is_list() -> Column:
+    """Whether a body is a readable list; null bodies are not."""
+    return readable() & F.coalesce(F.startswith(F.ltrim("body"), F.lit("[")), F.lit(False))
+
+
+def unreadable_responses(responses: DataFrame, max_text: int | None = None) -> DataFrame:
+    """Dead letters: the responses whose body is no list of answers, with the reason.
+
+    Each response row is either here or opened by ``flat_depths`` and
+    ``flat_scores``, never partly both. All columns are kept.
+    """
+    text = F.coalesce("body", F.lit(""))
+    if max_text is not None:
+        text = F.substring(text, 1, max_text)
+    return responses.filter(~_is_list()).withColumn("error", F.concat(F.lit(UNREADABLE), text))
+
+
 def _opened(responses: DataFrame, schema: T.ArrayType) -> DataFrame:
-    items = F.array_compact(F.from_json("body", schema))
+    items = F.array_compact(F.when(_is_list(), F.from_json("body", schema)))
     return responses.select("batch_id", F.posexplode(items).alias("position", "item"))
 
 
@@ -318,7 +350,7 @@ def batch_outcomes(
         F.lit("[batch "), F.concat_ws(".", *[F.col(c).cast("string") for c in names]),
         F.lit("/"), total, F.lit("] "),
     )
-    answered = succeeded()
+    answered = F.coalesce("answered", F.lit(False))
     error = F.when(F.col("asked").isNull(), NO_ATTEMPT).when(
         ~answered, F.concat(place, failure_text(max_text))
     )
@@ -332,6 +364,14 @@ def batch_outcomes(
     )
 
 
+def require_answered(outcomes: DataFrame) -> DataFrame:
+    """The outcomes of ``batch_outcomes``; stops where a batch failed for good."""
+    failed = outcomes.filter(~F.col("answered")).select("error").head()
+    if failed is not None:
+        raise RuntimeError(f"a batch has no answer: {failed.error}")
+    return outcomes
+
+
 def enrich_partitions(
     df: DataFrame,
     fetch: Callable[[pd.DataFrame], pd.DataFrame],

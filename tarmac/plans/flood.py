@@ -9,6 +9,7 @@ from tarmac.operators.responses import (
     flat_depths,
     flat_scores,
     merge_depths_and_scores,
+    require_answered,
 )
 
 
@@ -18,8 +19,14 @@ def build_flood_risk(
     score_responses: DataFrame,
     run_ts: Column,
     when_one_side_empty: str = "nothing",
+    outcomes: DataFrame | None = None,
 ) -> DataFrame:
-    """Addresses with coordinates and an answer, the answer flattened beside them."""
+    """Addresses with coordinates and an answer, the answer flattened beside them.
+
+    With the ``outcomes`` of the request batches, one that failed for good stops the job.
+    """
+    if outcomes is not None:
+        require_answered(outcomes)
     located = geocoded.dropna(subset=["lat", "lon"]).withColumn(
         "id", F.col("id").cast("string")
     )

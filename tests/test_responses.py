@@ -17,7 +17,9 @@ from tarmac.operators.responses import (
     merge_depths_and_scores,
     request_batches,
     request_items,
+    require_answered,
     resolved_addresses,
+    unreadable_responses,
 )
 from tarmac.plans.flood import build_flood_risk
 from tarmac.plans.geocode import build_geocoded
@@ -116,6 +118,55 @@ def test_first_success_wins_however_late(spark):
     assert (rows["3"].status, rows["3"].body) == (502, "second")
 
 
+GARBLED = ['{"results":[{"type":"Poi', "<html>busy</html>", "", None, "{} trailing", "   "]
+
+
+def test_an_unreadable_answer_is_a_failure(spark):
+    source = addresses(spark, *[(str(n), "a") for n in range(len(GARBLED))], ("later", "b"), ("worse", "c"), ("none", "d"))
+    attempts = log(
+        spark,
+        *[(str(n), "a", 1, 0, 200, "OK", body) for n, body in enumerate(GARBLED)],
+        ("later", "b", 1, 0, 200, "OK", GARBLED[0]),
+        ("later", "b", 2, 0, 200, "OK", found("Paarl")),
+        ("worse", "c", 1, 0, 200, "OK", GARBLED[1]),
+        ("worse", "c", 2, 0, 503, "Down", "x"),
+        ("none", "d", 1, 0, 200, "OK", "{}"),
+    )
+    rows = {r.id: r for r in build_geocoded(source, attempts, run_time()).collect()}
+    for n, body in enumerate(GARBLED):
+        assert rows[str(n)].error == "unreadable answer: " + (body or "")
+    assert (rows["later"].municipality, rows["later"].error) == ("Paarl", None)
+    assert (rows["worse"].error, rows["none"].error) == ("503 Down: x", "no results")
+    [cut] = resolved_addresses(source, attempts, max_text=5).filter("id = '1'").collect()
+    assert cut.error == "unreadable answer: <html"
+
+
+def test_flood_bodies_are_opened_or_dead_letters(spark):
+    whole = [json.dumps([depth("8", "FLRF_U", sop=3)]), " []"]
+    broken = [*GARBLED, '[{"id":"7"},{"id":"8","sta', '{"id":"7"}']
+    responses = spark.createDataFrame(list(enumerate(whole + broken)), "batch_id long, body string")
+    letters = unreadable_responses(responses).collect()
+    assert sorted(r.batch_id for r in letters) == list(range(2, 2 + len(broken)))
+    assert {r.error for r in letters} == {"unreadable answer: " + (body or "") for body in broken}
+    assert [r.address_id for r in flat_depths(responses).collect()] == ["8"]
+    assert flat_scores(responses).count() == 1
+    assert unreadable_responses(responses.limit(0)).count() == 0
+
+
+def test_a_failed_batch_stops_the_job_on_request(spark):
+    requests = spark.createDataFrame([(1,), (2,)], "batch int")
+    rows = [(1, 1, 200, "OK", "[{"), (1, 2, 200, "OK", "[]"), (2, 1, 200, "OK", "[{")]
+    attempts = spark.createDataFrame(rows, "batch int, retry int, status int, reason string, body string")
+    outcomes = batch_outcomes(requests, attempts, ["batch"])
+    assert {r.batch: (r.answered, r.deciding_retry, r.body, r.error) for r in outcomes.collect()} == {
+        1: (True, 2, "[]", None), 2: (False, 1, None, "[batch 2/2] unreadable answer: [{"),
+    }
+    assert require_answered(outcomes.filter("batch = 1")).count() == 1
+    places, nothing = located(spark, ("7", "Quay", 1.0, 2.0)), bodies(spark)
+    with pytest.raises(RuntimeError, match="batch 2/2"):
+        build_flood_risk(places, nothing, nothing, run_time(), outcomes=outcomes)
+
+
 def test_an_id_with_several_addresses_takes_its_best_match(spark):
     source = addresses(spark, ("1", ""), ("1", "12 Main"), ("2", "new"), ("2", "old"), ("2", "old"), ("3", ""), ("3", None))
     attempts = log(
