@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import QUERIES
+from catalogue import testbed
 from tarmac.operators.joins import left_join_many
 from tarmac.operators.latest import keep_latest
 from tarmac.operators.notrip import past_trip_flags
@@ -267,3 +268,19 @@ def test_own_copies_need_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(Bare)
+
+
+def test_no_task_makes_the_logs_of_more_customers_than_its_share(spark, tmp_path, monkeypatch):
+    key = F.col("id")
+    spark.range(0, 300, 1, 1).select(
+        key.alias("c_custkey"), F.lit("name").alias("c_name"), F.lit(0).alias("c_nationkey"),
+        F.lit(1.0).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment"),
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1).select(
+        key.cast("int").alias("n_nationkey"), F.lit("land").alias("n_name")
+    ).write.parquet(f"{tmp_path}/nation.parquet")
+    monkeypatch.setattr(testbed, "CUSTOMER_ROWS", 30)
+    tb = testbed.Testbed(spark, str(tmp_path))
+    log = tb.geocode_log().groupBy(F.spark_partition_id()).agg(F.count_distinct("id").alias("n"))
+    assert log.agg(F.max("n")).first()[0] <= 2 * 30
+    assert tb.geocode_log().select("id").distinct().count() == 300 - 6  # every fiftieth is empty
