@@ -78,19 +78,22 @@ class Testbed:
         return self._tables["dealt customers"]
 
     def insured_lines(self) -> DataFrame:
-        lines = self.table("lineitem").join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+        return with_policy(
+            self.table("lineitem").join(
+                self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+            )
         )
-        return lines.withColumn("policy", F.col("o_custkey").cast("string")).withColumn(
-            "asset", F.concat_ws("-", "policy", (F.col("l_partkey") % 3).cast("string"))
-        ).withColumn("imei", device_of(F.col("o_custkey")))
 
     def mi_exposure(self) -> DataFrame:
         """Monthly insured-item exposure under its raw column names."""
         c = F.col
-        lines = (
-            self.insured_lines()
-            .join(self.table("customer"), c("o_custkey") == c("c_custkey"))
+        # customers meet orders, of which there are fewer than lines
+        orders = self.table("orders").join(
+            self.table("customer"), c("o_custkey") == c("c_custkey")
+        )
+        lines = with_policy(
+            self.table("lineitem")
+            .join(orders, c("l_orderkey") == c("o_orderkey"))
             .join(self.table("part"), c("l_partkey") == c("p_partkey"))
         )
         number = c("l_linenumber")
@@ -468,6 +471,13 @@ def loaded_days() -> Column:
     return F.when(early, -9).otherwise(month % 3).cast("int")
 
 
+def with_policy(lines: DataFrame) -> DataFrame:
+    """Policy, asset and device of order lines; made last, as they travel as text."""
+    return lines.withColumn("policy", F.col("o_custkey").cast("string")).withColumn(
+        "asset", F.concat_ws("-", "policy", (F.col("l_partkey") % 3).cast("string"))
+    ).withColumn("imei", device_of(F.col("o_custkey")))
+
+
 def device_of(customer: Column) -> Column:
     """Ten customers share a device; one in eight has a device without users."""
     unknown = F.concat(F.lit("x"), customer.cast("string"))

@@ -284,3 +284,22 @@ def test_no_task_makes_the_logs_of_more_customers_than_its_share(spark, tmp_path
     log = tb.geocode_log().groupBy(F.spark_partition_id()).agg(F.count_distinct("id").alias("n"))
     assert log.agg(F.max("n")).first()[0] <= 2 * 30
     assert tb.geocode_log().select("id").distinct().count() == 300 - 6  # every fiftieth is empty
+
+
+def test_the_left_side_of_a_join_is_shuffled_once(spark, tmp_path):
+    left_path, right_path = str(tmp_path / "l"), str(tmp_path / "r")
+    spark.range(2000).select((F.col("id") % 900).alias("k"), "id").write.parquet(left_path)
+    many = F.when(F.col("id") < 100, F.lit(7)).otherwise(F.col("id"))
+    spark.range(3000).select(many.alias("rk"), F.col("id").alias("v")).write.parquet(right_path)
+    adaptive(spark)
+    size = "20k"  # as in a large run, where neither side can be sent to every task
+    with settings(
+        spark, spark__sql__autoBroadcastJoinThreshold=size,
+        spark__sql__adaptive__autoBroadcastJoinThreshold=size,
+    ):
+        left, right = spark.read.parquet(left_path), spark.read.parquet(right_path)
+        joined = left_join_many(left, right, "k", "rk")
+        text = plan(joined, "simple")
+        got = sorted(joined.collect(), key=str)
+    assert text.count("Exchange hashpartitioning") == 2  # either side once
+    assert got == sorted(left.join(right, left.k == right.rk, "left").collect(), key=str)
