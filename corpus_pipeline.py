@@ -25,9 +25,12 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def identified_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that are in none of the learned languages."""
+    """Documents in a learned language, their ``lang`` replaced by the one identified.
+
+    The sequences are packed by it; a document without letters has none.
+    """
     prepared(spark)
-    return language.keep_identified(docs, language.fit(docs))
+    return language.keep_identified(docs, language.fit(docs), into="lang")
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +45,9 @@ def uncontaminated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their place in sequences of 4096 tokens."""
+    """Pieces of documents with their place in sequences of 4096 tokens of one language."""
     prepared(spark)
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), by="lang")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -164,14 +164,25 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(
-    docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None
+    docs: DataFrame,
+    model: Model,
+    languages: tuple[str, ...] | None = None,
+    into: str | None = None,
 ) -> DataFrame:
-    """The rows in one of the languages (all that were learned, if not given)."""
+    """The rows in one of the languages (all that were learned, if not given).
+
+    ``into`` names the text column of the rows that takes the language found.
+    """
     wanted = set(model.languages if languages is None else languages)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, _ = model.predict(batch["text"].to_pylist())
-            yield batch.filter(pa.array([name in wanted for name in names], pa.bool_()))
+            columns = [
+                pa.array(names, pa.string()) if name == into else batch[name]
+                for name in batch.schema.names
+            ]
+            found = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield found.filter(pa.array([name in wanted for name in names], pa.bool_()))
 
     return map_batches(docs, kept, docs.schema)

@@ -116,8 +116,15 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _pieces(docs: DataFrame, path: str, length: int, separator: int, with_ids: bool) -> DataFrame:
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _schema(docs: DataFrame, with_ids: bool, by: str | None) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    schema = PIECES.format(kind=kinds["doc_id"]) + (f", `{by}` {kinds[by]}" if by else "")
+    return schema + (", ids binary" if with_ids else "")
+
+
+def _pieces(
+    docs: DataFrame, path: str, length: int, separator: int, with_ids: bool, by: str | None
+) -> DataFrame:
     end = np.array([separator], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,29 +139,32 @@ def _pieces(docs: DataFrame, path: str, length: int, separator: int, with_ids: b
                     keys.append(i)
                     rows.append((piece, at // 4, len(some) // 4, zlib.crc32(some), some))
             piece, start, n, crc, some = zip(*rows, strict=True) if rows else ((),) * 5
+            rows_of = pa.array(keys, pa.int64())
             columns = [
-                batch["doc_id"].take(pa.array(keys, pa.int64())),
+                batch["doc_id"].take(rows_of),
                 pa.array(piece, pa.int32()),
                 pa.array(start, pa.int64()),
                 pa.array(n, pa.int64()),
                 pa.array(crc, pa.int64()),
             ]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if by:
+                columns, names = [*columns, batch[by].take(rows_of)], [*names, by]
             if with_ids:
                 columns, names = [*columns, pa.array(some, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = PIECES.format(kind=kind) + (", ids binary" if with_ids else "")
-    return map_batches(docs.select("doc_id", "text"), cut, schema)
+    columns = ["doc_id", "text", *([by] if by else [])]
+    return map_batches(docs.select(*columns), cut, _schema(docs, with_ids, by))
 
 
 class Bins:
     """Open bins by free space: a bitset of the free spaces there are, and the
     bins of each."""
 
-    def __init__(self, size: int, most: int):
+    def __init__(self, size: int, most: int, made: int = 0):
         self.size, self.most = size, most
-        self.bits, self.open, self.made = 0, 0, 0
+        self.bits, self.open, self.made = 0, 0, made
         self.by_free: list[list[int]] = [[] for _ in range(size + 1)]
 
     def place(self, length: int) -> tuple[int, int]:
@@ -192,6 +202,7 @@ def pack(
     open_bins: int = OPEN_BINS,
     task_pieces: int = TASK_PIECES,
     with_ids: bool = False,
+    by: str | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset,
     and with ``with_ids`` the ids themselves.
@@ -199,22 +210,26 @@ def pack(
     A null text is an empty document, whose only token is the separator. Rows of
     the same doc_id are packed each on its own; extra columns are left behind.
     ``tokenizer`` is the path of a tokenizer file that every executor has.
+    ``by`` names a column, such as a language, whose values share no sequence; it is
+    kept. Every task leaves open bins unfilled for each value then.
     """
-    pieces = stored(_pieces(docs, tokenizer, length, separator, with_ids), "pieces")
+    pieces = stored(_pieces(docs, tokenizer, length, separator, with_ids, by), "pieces")
     groups = -(-pieces.count() // task_pieces) or 1
     order = F.xxhash64("doc_id", "piece", "ids_crc32")
     mixed = pieces.withColumn("mix", order).withColumn("task", F.pmod("mix", F.lit(groups)))
     names = [*pieces.columns, "sequence_id", "offset"]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins: dict[int, Bins] = {}
+        last, bins = None, None
         for batch in batches:
             places = []
-            for task, n in zip(batch["task"].to_pylist(), batch["length"].to_pylist(), strict=True):
-                if task not in bins:
-                    bins.clear()  # rows come sorted by task
-                    bins[task] = Bins(length, open_bins)
-                at, offset = bins[task].place(n)
+            tasks = batch["task"].to_pylist()
+            values = batch[by].to_pylist() if by else [None] * len(tasks)
+            for task, value, n in zip(tasks, values, batch["length"].to_pylist(), strict=True):
+                if bins is None or (task, value) != last:  # rows come sorted by them
+                    made = bins.made if bins and last[0] == task else 0
+                    last, bins = (task, value), Bins(length, open_bins, made)
+                at, offset = bins.place(n)
                 places.append((task << 40 | at, offset))
             sequence, offset = zip(*places, strict=True) if places else ((), ())
             yield pa.RecordBatch.from_arrays(
@@ -226,9 +241,9 @@ def pack(
                 names=names,
             )
 
-    schema = PIECES.format(kind=docs.schema["doc_id"].dataType.simpleString())
-    schema += (", ids binary" if with_ids else "") + ", sequence_id long, offset long"
-    dealt = mixed.repartition(groups, "task").sortWithinPartitions("task", "mix", "doc_id", "start")
+    schema = _schema(docs, with_ids, by) + ", sequence_id long, offset long"
+    order = ["task", *([by] if by else []), "mix", "doc_id", "start"]
+    dealt = mixed.repartition(groups, "task").sortWithinPartitions(*order)
     return map_batches(dealt, packed, schema)
 
 

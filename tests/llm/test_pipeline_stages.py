@@ -447,3 +447,26 @@ def test_pipeline_stages_stand_awkward_and_empty_rows(spark):
 def test_item_list_digest(spark):
     row = QUERIES["op9_decontamination"](spark, FOLDER).filter("not contaminated").first()
     assert row.items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_the_identified_language_steers_the_packing(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(200)
+    unmarked = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    kept = corpus_pipeline.identified_documents(spark, unmarked, FOLDER)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    found = {r.doc_id: r.lang for r in kept.collect()}
+    assert None not in found.values() and len(set(found.values())) > 1
+    packed = corpus_pipeline.packed_sequences(spark, kept, FOLDER).collect()
+    of_sequence = defaultdict(set)
+    places = defaultdict(list)
+    for r in packed:
+        assert r.lang == found[r.doc_id]
+        of_sequence[r.sequence_id].add(r.lang)
+        places[r.sequence_id].append((r.offset, r.length))
+    assert all(len(languages) == 1 for languages in of_sequence.values())
+    for rows in places.values():
+        end = 0
+        for offset, length in sorted(rows):
+            assert offset == end
+            end += length
+        assert end <= 4096
