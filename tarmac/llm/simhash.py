@@ -15,7 +15,7 @@ kept, never all its pairs.
 ``keep_one`` also links texts that share four fifths of their shingles, whose
 fingerprints mostly lie further apart: they meet by their rarest shingles, of which
 such texts share one, are pruned by the numbers of their distinct shingles, and
-compared shingle by shingle.
+compared shingle by shingle. In crowds, bits of the shingles' parity prune them too.
 
 A bucket beyond a fixed size is dealt again: of its other 36 bits, three of six
 equal parts must agree, which leaves 18 bits. A part that is still too large is
@@ -49,6 +49,8 @@ SIMILAR = 0.8
 #: Rows of a key that are compared at once. In larger crowds each row is compared with
 #: the next few first, then with all that this did not link, in blocks of rows.
 CROWD, NEXT, BLOCK = 64, 4, 1024
+#: Words of 64 bits that tell the texts of a crowd apart: of use up to 2000 shingles a text.
+PARITY = [f"parity_{k}" for k in range(16)]
 _HELD_LINKS = 1 << 20
 _BITS_AT_ONCE = 1 << 15
 
@@ -466,17 +468,44 @@ def _first_pairs(least: float):
     return _runs(["key", "unit", "size", "place"], "key", 16 * _BITS_AT_ONCE, pairs)
 
 
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    """Bits that tell whether an odd number of the distinct hashes fall on them. Sets differ
+    in at least as many hashes as their bits."""
+    bits = np.bincount(hashes >> np.uint64(1) & np.uint64(64 * len(PARITY) - 1), minlength=64 * len(PARITY))
+    return np.packbits((bits & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _parities(units: DataFrame, texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """The parity bits of the wanted units."""
+    wanted = units.join(wanted, "unit", "left_semi").select("unit", "row")
+    source = texts.select("row", utf8("text").alias("text")).join(wanted, "row").select("unit", "text")
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [_parity(_set_of(shingle_hashes(t, shingle))) for t in batch["text"].to_pylist()]
+            bits = np.array(bits, dtype=np.int64).reshape(-1, len(PARITY))
+            yield pa.RecordBatch.from_arrays(
+                [batch["unit"], *(pa.array(b.copy()) for b in bits.T)], names=["unit", *PARITY]
+            )
+
+    return map_batches(source, added, ", ".join(f"{n} long" for n in ["unit", *PARITY]))
+
+
 def _other_pairs(least: float):
-    """All pairs of a group that are on different sides and not linked yet."""
+    """All pairs of a group that are on different sides, not linked yet, and whose parity
+    bits differ in no more places than the sets of similar texts do."""
 
     def pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        groups, ids = rows["group"], rows["unit"]
+        groups, ids, sizes = rows["group"], rows["unit"], rows["size"]
+        parity = np.stack([rows[n] for n in PARITY], axis=1).view(np.uint64)
         ends = np.searchsorted(groups, groups, side="right")
         left, right, held = [], [], 0
         for i in range(len(groups)):
             j = np.arange(i + 1, ends[i])
             j = j[(rows["side"][j] != rows["side"][i]) & (rows["component"][j] != rows["component"][i])]
             j = j[_may(rows, np.full(len(j), i), j, least)]
+            differ = np.bitwise_count(parity[j] ^ parity[i]).sum(axis=1, dtype=np.int64)
+            j = j[differ <= (1 - least) / (1 + least) * (sizes[j] + sizes[i]) + 1e-6]
             left.append(np.full(len(j), ids[i]))
             right.append(ids[j])
             held += len(j)
@@ -486,12 +515,15 @@ def _other_pairs(least: float):
         if held:
             yield _pairs_of(np.concatenate(left), np.concatenate(right))
 
-    return _runs(["group", "unit", "size", "place", "side", "component"], "group", 1 << 62, pairs)
+    names = ["group", "unit", "size", "place", "side", "component", *PARITY]
+    return _runs(names, "group", 1 << 62, pairs)
 
 
-def _crowds(dealt: DataFrame, reached: DataFrame) -> DataFrame:
-    """The rows of crowds that are not linked as a whole, in groups of two blocks each:
-    each pair of a crowd is in one group, on different sides of it."""
+def _crowds(
+    dealt: DataFrame, reached: DataFrame, units: DataFrame, texts: DataFrame, shingle: int
+) -> DataFrame:
+    """The rows of crowds that are not linked as a whole, with their parity bits, in groups
+    of two blocks each: each pair of a crowd is in one group, on different sides of it."""
     c = F.col
     named = dealt.join(reached.withColumnRenamed("node", "value"), "value", "left").withColumn(
         "component", F.coalesce("component", "value")
@@ -503,12 +535,13 @@ def _crowds(dealt: DataFrame, reached: DataFrame) -> DataFrame:
         .select("key", F.ceil(c("n") / BLOCK).alias("blocks"))
     )
     block = F.pmod(F.xxhash64("unit"), c("blocks"))
-    met = named.join(open_keys, "key").withColumn("block", block)
+    met = stored(named.join(open_keys, "key").withColumn("block", block), "crowds")
+    met = met.join(_parities(units, texts, met.select("unit").distinct(), shingle), "unit")
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), c("blocks") - 1)))
     group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
     # within one block every row is a side of its own
     side = F.when(c("block") == c("other"), c("unit")).otherwise(c("block"))
-    return met.select(group.alias("group"), side.alias("side"), *dealt.columns, "component")
+    return met.select(group.alias("group"), side.alias("side"), *dealt.columns, "component", *PARITY)
 
 
 def _similar(pairs: DataFrame, units: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -517,7 +550,7 @@ def _similar(pairs: DataFrame, units: DataFrame, texts: DataFrame, shingle: int,
     needed = pairs.select(c("a").alias("unit")).union(pairs.select("b")).distinct()
     needed = units.join(needed, "unit", "left_semi").select("unit", "row")
     some = texts.select("row", utf8("text").alias("text")).join(needed, "row")
-    some = stored(some.select("unit", "text"), "alike_texts")
+    some = stored(some.select("unit", "text"), "alike_texts", "zstd")
     met = pairs.join(some.select(c("unit").alias("a"), c("text").alias("left")), "a").join(
         some.select(c("unit").alias("b"), c("text").alias("right")), "b"
     )
@@ -634,7 +667,7 @@ def similar_links(
     first = links_of(map_batches(ordered, _first_pairs(similarity), "a long, b long"))
     if dealt.groupBy("key").count().filter(c("count") > CROWD).isEmpty():
         return first
-    rest = _crowds(dealt, components(first.union(linked)))
+    rest = _crowds(dealt, components(first.union(linked)), units, texts, shingle)
     ordered = rest.repartition(parts, "group").sortWithinPartitions("group")
     return first.union(links_of(map_batches(ordered, _other_pairs(similarity), "a long, b long")))
 
@@ -652,7 +685,7 @@ def keep_one(
     made = ("value", "unit", "size", "counted", "row")
     names = {k: free_name(docs, f"simhash_{k}") for k in made}
     rows = _with_sets(docs, names, shingle).withColumn(names["row"], F.monotonically_increasing_id())
-    rows = stored(rows, "fingerprints")
+    rows = stored(rows, "fingerprints", "zstd")
     own = rows.select(*(F.col(names[k]).alias(k) for k in names), "doc_id", "text")
     keys = own.select(
         "value",

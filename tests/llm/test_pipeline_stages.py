@@ -297,6 +297,37 @@ def test_repeated_lines_do_not_part_similar_texts(spark):
     assert sorted(r.doc_id for r in kept.collect()) == want
 
 
+def test_parity_bits_differ_no_more_than_the_sets():
+    draw = np.random.default_rng(2)
+    for size in (1, 40, 900, 5000):
+        one = np.unique(draw.integers(0, 1 << 64, size, dtype=np.uint64))
+        two = np.unique(np.append(one[size // 5 :], draw.integers(0, 1 << 64, size // 5, dtype=np.uint64)))
+        differ = simhash._parity(one).view(np.uint64) ^ simhash._parity(two).view(np.uint64)
+        assert np.bitwise_count(differ).sum() <= len(np.setxor1d(one, two))
+
+
+def test_a_crowd_of_unlike_texts_costs_few_pairs(spark, monkeypatch):
+    draw = random.Random(31)
+    base = [f"w{draw.randrange(10**9)}" for _ in range(300)]
+    rows = [(k, " ".join(replaced(base, draw.sample(range(5, 290, 6), 8), draw))) for k in range(150)]
+    rows += [(1000 + k, " ".join(replaced(rows[k][1].split(), [298], draw))) for k in range(0, 150, 10)]
+    draw.shuffle(rows)
+    made, stored = [], simhash.stored
+
+    def counted(df, label, compression=None):
+        out = stored(df, label, compression)
+        made.append(out.count() if label == "alike" else 0)
+        return out
+
+    root = near_groups(rows)
+    want = sorted(min(rows[j][0] for j in range(len(rows)) if root[j] == r) for r in set(root))
+    monkeypatch.setattr(simhash, "stored", counted)
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == want
+    # some links each, and not the 13695 pairs
+    assert 15 <= sum(made) < 20 * len(rows)
+
+
 # Decontamination
 
 
@@ -405,6 +436,17 @@ def test_packing_of_awkward_rows(spark, tasks):
     assert packing.pack(nothing(spark), tokenizer_path()).count() == 0
 
 
+def test_words_that_come_again_stay_known(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 50)
+    own, learned = packing.Encoder(corpus_pipeline.tokenizer_path()), []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda words: (learned.extend(words), learn(words)))
+    texts = [f"Again, {' '.join(f'own{k}x{n}.' for n in range(30))} again" for k in range(20)]
+    found = [own.encode([t])[0] for t in texts]
+    assert learned.count("again") == 1 and len(own.known) + len(own.older) < 250
+    assert found == packing.Encoder(corpus_pipeline.tokenizer_path()).encode(texts)
+
+
 def test_a_bounded_number_of_bins_stays_open():
     bins = packing.Bins(10, 2)
     assert [bins.place(n) for n in (6, 5, 7)] == [(0, 0), (1, 0), (2, 0)]
