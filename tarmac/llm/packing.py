@@ -25,7 +25,8 @@ SEQUENCE, SEPARATOR = 4096, 1
 OPEN_BINS = 2048
 #: Pieces that one task packs. Each task leaves at most its open bins unfilled.
 TASK_PIECES = 250_000
-#: Words whose ids a worker remembers; beyond that it starts afresh.
+#: Words whose ids a worker remembers; beyond that it starts afresh and keeps, of these,
+#: those that come again before the next time.
 KNOWN_WORDS = 500_000
 
 PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
@@ -53,6 +54,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         kind = json.loads(Path(path).read_text())
         steps = (kind.get("normalizer") or {}).get("normalizers", [])
         split = (kind.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
@@ -73,6 +75,13 @@ class Encoder:
             return word.lower(), part[len(word) :]
         return part, ""
 
+    def _unknown(self, words: set[str]) -> set[str]:
+        """Those of the words that were not known before either; the others are known again."""
+        older = self.older
+        again = {w: older[w] for w in words if w in older}
+        self.known.update(again)
+        return words.difference(again)
+
     def _learn(self, words: list[str]) -> None:
         if self.folds:
             plain = [w for w in words if w.isalpha()]
@@ -96,14 +105,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.known) > KNOWN_WORDS:
+            self.older, self.known = self.known, {}
         known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
         new: set[str] = set()
         for parts in lists:
             new.update(set(parts).difference(known))
-        pairs = [(part, *self._parted(part)) for part in new]
-        self._learn(list({w for _, *pair in pairs for w in pair if w not in known}))
+        pairs = [(part, *self._parted(part)) for part in self._unknown(new)]
+        words = {w for _, *pair in pairs for w in pair if w not in known}
+        self._learn(list(self._unknown(words)))
         for part, word, marks in pairs:
             if part != word:
                 known[part] = known[word] + known[marks]
