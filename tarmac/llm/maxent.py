@@ -222,8 +222,8 @@ def blocked(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def block_words(rows: DataFrame) -> DataFrame:
-    """Each block's words with their number in its training texts, stored; a word comes
-    again where a block is read by two tasks or has very many words."""
+    """Each block's words with their number in its training texts; a word comes again
+    where a block is read by two tasks or has very many words."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, found, unheld = None, Counter(), set()
@@ -254,8 +254,16 @@ def block_words(rows: DataFrame) -> DataFrame:
         if found or unheld:
             yield out()
 
-    words = map_batches(rows.select("block", "held_out", "text"), counted, "block long, word binary, n long")
-    return stored(words, "block_words", "zstd")
+    return map_batches(rows.select("block", "held_out", "text"), counted, "block long, word binary, n long")
+
+
+def word_blocks(rows: DataFrame) -> DataFrame:
+    """Each word with its number in the training texts and its blocks, stored: one shuffle
+    serves the counts and their way back to the blocks."""
+    words = block_words(rows).groupBy("word")
+    return stored(
+        words.agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks")), "word_blocks", "zstd"
+    )
 
 
 def summed(partial: DataFrame, parts: int) -> np.ndarray:
@@ -330,6 +338,9 @@ def fit(rows: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     weights = np.zeros((FEATURES + 1, CLASSES), dtype=np.float32)
     weights[FEATURES] = np.log(prior)
     train = rows.filter(~F.col("held_out")).select("text")
+    # A task writes a whole gradient, whatever it reads.
+    parts = train.rdd.getNumPartitions()
+    train = train.coalesce(max(2 * train.sparkSession.sparkContext.defaultParallelism, parts // 4))
     for k in range(rounds):
         part = train.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k)
         found = _round(part, weights, classes)
@@ -342,12 +353,10 @@ def fit(rows: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     return Model(classes, weights, int(totals["n"] or 0), totals["words"])
 
 
-def scored(rows: DataFrame, words: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
+def scored(rows: DataFrame, words: DataFrame, model: Model) -> DataFrame:
     """Each block's words with their counts meet its texts; a block is bounded in bytes."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    known = words.select("block", "word").join(counts, "word", "left").select(
-        "block", "word", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    known = words.select(F.explode("blocks").alias("block"), "word", "n")
 
     def answered(own: pa.Table, texts: pa.Table) -> pa.Table:
         lexicon = Lexicon(model.classes)
@@ -388,8 +397,5 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = BLOCK_BYTES)
     untrained model.
     """
     rows = blocked(docs, block_bytes)
-    words = block_words(rows)
-    counts = stored(
-        words.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"), "word_counts"
-    )
-    return scored(rows, words, counts, fit(rows, counts, rounds))
+    words = word_blocks(rows)
+    return scored(rows, words, fit(rows, words.filter("n > 0").select("word", "n"), rounds))

@@ -109,3 +109,19 @@ def test_a_tree_adds_all_partial_gradients(spark):
     frame = spark.createDataFrame(rows, "part long, shard int, values binary")
     want = [sum(range(n))] * 3 + [sum(range(1, n + 1))] * 3
     assert maxent.summed(frame, n).tolist() == want
+
+
+def test_counts_return_to_the_blocks_without_a_join(spark):
+    plan = maxent.score(documents(spark), rounds=1)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(block") == 2
+
+
+def test_gradients_come_from_few_tasks(spark, monkeypatch):
+    most = max(2 * spark.sparkContext.defaultParallelism, 10)
+    parts, summed = [], maxent.summed
+    monkeypatch.setattr(maxent, "summed", lambda rows, n: (parts.append(n), summed(rows, n))[1])
+    texts = spark.createDataFrame([(f"some words and others {k}", k % 9 == 0) for k in range(200)], "text string, held_out boolean")
+    rows = texts.withColumn("text", texts["text"].cast("binary")).repartition(4 * most)
+    counts = spark.createDataFrame([(b"some", 200), (b"words", 200)], "word binary, n long")
+    maxent.fit(rows, counts, rounds=2)
+    assert len(parts) == 2 and max(parts) <= most
