@@ -477,7 +477,8 @@ def _parity(hashes: np.ndarray) -> np.ndarray:
 
 def _parities(units: DataFrame, texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """The parity bits of the wanted units."""
-    wanted = units.join(wanted, "unit", "left_semi").select("unit", "row")
+    # stored, so that its size is known and few of them need no shuffle of all texts
+    wanted = stored(units.join(wanted, "unit", "left_semi").select("unit", "row"), "wanted")
     source = texts.select("row", utf8("text").alias("text")).join(wanted, "row").select("unit", "text")
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -548,7 +549,7 @@ def _similar(pairs: DataFrame, units: DataFrame, texts: DataFrame, shingle: int,
     """The pairs of units whose sets of word shingles are similar enough (Jaccard)."""
     c = F.col
     needed = pairs.select(c("a").alias("unit")).union(pairs.select("b")).distinct()
-    needed = units.join(needed, "unit", "left_semi").select("unit", "row")
+    needed = stored(units.join(needed, "unit", "left_semi").select("unit", "row"), "wanted")
     some = texts.select("row", utf8("text").alias("text")).join(needed, "row")
     some = stored(some.select("unit", "text"), "alike_texts", "zstd")
     met = pairs.join(some.select(c("unit").alias("a"), c("text").alias("left")), "a").join(
