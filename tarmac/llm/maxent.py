@@ -19,13 +19,13 @@ the whole vocabulary.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,16 +37,66 @@ BLOCK_BYTES = 12 << 20
 FREQUENT, CLASSES, FEATURES, LETTERS = 31, 64, 1 << 14, 2
 ROUNDS, RATE, SMOOTH, LARGEST_STEP = 4, 0.15, 100.0, 1.0
 #: Positions of one product, partial gradients that one task of the tree adds, the
-#: pieces of a gradient, texts scored at a time.
-POSITIONS, FAN_IN, SHARDS, TEXTS = 1 << 12, 32, 16, 500
+#: pieces of a gradient, texts cut and scored at a time.
+POSITIONS, FAN_IN, SHARDS, TEXTS = 1 << 12, 32, 16, 250
 END = b""
+#: Letters of a word that are hashed together with those of other words.
+LONG = 32
 _START = 0x5BD1E995
+_LETTER = np.array([not bytes([k]).isspace() for k in range(256)])
+_CRC = np.array([zlib.crc32(bytes([k ^ 0xFF])) ^ 0xFF000000 for k in range(256)], dtype=np.uint32)
+
+
+def words_of(texts: list[bytes]) -> pa.ListArray:
+    """The words of each text and its end, cut for all texts at once."""
+    joined = np.frombuffer(b" ".join(texts).lower() + b" ", dtype=np.uint8)
+    inside = _LETTER[joined]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    behind = np.cumsum([len(t) + 1 for t in texts])
+    ends = np.searchsorted(edges[::2], behind)
+    lengths = np.insert(edges[1::2] - edges[::2], ends, 0)
+    flat = pa.Array.from_buffers(
+        pa.binary(), len(lengths), [None, pa.py_buffer(_offsets(lengths)), pa.py_buffer(joined[inside])]
+    )
+    return pa.ListArray.from_arrays(pa.array(_offsets(np.diff(ends, prepend=0) + 1)), flat)
+
+
+def pieces(texts: list[bytes]) -> Iterator[pa.ListArray]:
+    """The words of a few texts at a time."""
+    return (words_of(texts[k : k + TEXTS]) for k in range(0, len(texts), TEXTS))
 
 
 def tokens(text: bytes) -> list[bytes]:
-    words = text.lower().split()
-    words.append(END)
-    return words
+    return words_of([text])[0].as_py()
+
+
+def _offsets(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+
+
+def crc32(words: pa.BinaryArray, last: int | None = None) -> np.ndarray:
+    """zlib.crc32 of each word, or of its last letters, letter by letter for all words."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data or b"", dtype=np.uint8)
+    starts, ends = offsets[:-1], offsets[1:]
+    if last is not None:
+        starts = np.maximum(starts, ends - last)
+    lengths = ends - starts
+    order = np.argsort(-np.minimum(lengths, LONG).astype(np.int16), kind="stable")
+    at = starts[order]
+    longer = len(words) - np.cumsum(np.bincount(np.minimum(lengths, LONG), minlength=LONG + 1))
+    state = np.full(len(words), 0xFFFFFFFF, dtype=np.uint32)
+    for k in range(LONG):
+        own = state[: longer[k]]
+        if not len(own):
+            break
+        own[:] = _CRC[(own ^ data[at[: len(own)] + k]) & 0xFF] ^ own >> np.uint32(8)
+    out = np.empty_like(state)
+    out[order] = ~state
+    for k in np.flatnonzero(lengths > LONG):
+        out[k] = zlib.crc32(data[starts[k] : ends[k]])
+    return out
 
 
 @dataclass
@@ -57,12 +107,13 @@ class Classes:
     totals: np.ndarray
     words: np.ndarray
 
-    def of_all(self, words: list[bytes]) -> list[int]:
+    def of_all(self, words: pa.BinaryArray | list[bytes]) -> np.ndarray:
         """The class of each word."""
-        single, last = self.frequent.get, -LETTERS
-        ends = np.fromiter((zlib.crc32(w[last:]) for w in words), dtype=np.int64, count=len(words))
-        own = np.fromiter((single(w, -1) for w in words), dtype=np.int64, count=len(words))
-        return np.where(own >= 0, own, FREQUENT + ends % (CLASSES - FREQUENT)).tolist()
+        words = _binary(words)
+        own = pc.index_in(words, value_set=_binary(list(self.frequent)))
+        ranks = np.array([*self.frequent.values(), -1], dtype=np.int64)
+        own = ranks[own.fill_null(-1).to_numpy(zero_copy_only=False)]
+        return np.where(own >= 0, own, FREQUENT + crc32(words, LETTERS) % np.uint32(CLASSES - FREQUENT))
 
     def inside(self, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Natural logarithm of P(word | class)."""
@@ -70,42 +121,54 @@ class Classes:
         return np.where(classes < len(self.frequent), 0.0, share)
 
 
+def _binary(words: pa.Array | pa.ChunkedArray | list[bytes]) -> pa.BinaryArray:
+    if isinstance(words, pa.ChunkedArray):
+        words = words.combine_chunks()
+    return words.cast(pa.binary()) if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+
+
 class Lexicon:
     """Words as numbers, with their hash, class and count; number 0 stands before a text."""
 
     def __init__(self, classes: Classes):
         self.classes = classes
-        self.index: dict[bytes, int] = {}
-        self.hashes, self.kinds, self.counts = [_START], [CLASSES], [0]
-        self.arrays = None
-
-    def add(self, words: list[bytes], counts: list[int] | None = None) -> None:
-        start = len(self.hashes)
-        self.index.update(zip(words, range(start, start + len(words)), strict=True))
-        self.hashes.extend(map(zlib.crc32, words))
-        self.kinds.extend(self.classes.of_all(words))
-        self.counts.extend([0] * len(words) if counts is None else counts)
-        self.arrays = None
-
-    def flat(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        self.words = _binary([])
+        self.arrays = (
+            np.array([_START], dtype=np.uint32),
+            np.array([CLASSES], dtype=np.int64),
+            np.array([0], dtype=np.int64),
+        )
+
+    def add(self, words: pa.Array | pa.ChunkedArray | list[bytes], counts: np.ndarray | None = None) -> None:
+        words = _binary(words)
+        counts = np.zeros(len(words), dtype=np.int64) if counts is None else np.asarray(counts)
+        more = (crc32(words), self.classes.of_all(words), counts)
+        self.words = pa.concat_arrays([self.words, words])
+        self.arrays = tuple(np.concatenate(x) for x in zip(self.arrays, more, strict=True))
+
+    def flat(self, texts: pa.ListArray | list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words with three starts before each text; where the words are."""
-        index, out = self.index, []
-        for words in texts:
-            out += (0, 0, 0)
-            out += [index[w] for w in words]
-        numbers = np.array(out, dtype=np.int64)
-        return numbers, np.flatnonzero(numbers)
+        texts = texts if isinstance(texts, pa.ListArray) else pa.array(texts, pa.list_(pa.binary()))
+        return _after_starts(texts, self.places([texts]))
+
+    def places(self, texts: list[pa.ListArray]) -> pa.Int32Array:
+        """Where the words of all texts stand; one call reads all the lexicon."""
+        return pc.index_in(pa.concat_arrays([t.flatten() for t in texts]), value_set=self.words)
 
     def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if self.arrays is None:
-            self.arrays = (
-                np.array(self.hashes, dtype=np.uint32),
-                np.array(self.kinds, dtype=np.int64),
-                np.array(self.counts, dtype=np.int64),
-            )
         return self.arrays
 
 
+def _after_starts(texts: pa.ListArray, places: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    if places.null_count:
+        raise KeyError("a word is not in the lexicon")
+    lengths = texts.value_lengths().to_numpy()
+    at = np.arange(len(places)) + 3 * np.repeat(np.arange(1, len(lengths) + 1), lengths)
+    numbers = np.zeros(len(places) + 3 * len(lengths), dtype=np.int64)
+    numbers[at] = places.to_numpy() + 1
+    return numbers, at
+
+
 def features(hashes: np.ndarray, kinds: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The feature rows of each position, one column per kind of feature."""
     word = hashes[at - 1]
@@ -123,39 +186,68 @@ def features(hashes: np.ndarray, kinds: np.ndarray, at: np.ndarray) -> np.ndarra
     return (mixed ^ mixed >> np.uint32(15)) >> np.uint32(5) & np.uint32(FEATURES - 1)
 
 
-def class_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural logarithms of P(class | history) for each position and class."""
+def _odds(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits of each position and class, their exponentials and the sums of these."""
     logits = weights.take(rows[:, 0], axis=0)
     more = np.empty_like(logits)
     for k in range(1, rows.shape[1]):
         logits += weights.take(rows[:, k], axis=0, out=more, mode="clip")
     logits += weights[FEATURES]
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits, out=more).sum(axis=1, keepdims=True))
+    ones = np.ones(logits.shape[1], dtype=logits.dtype)
+    with np.errstate(over="ignore"):
+        sums = np.exp(logits, out=more) @ ones
+    if len(sums) and not 1e-30 < sums.min() <= sums.max() < 1e30:
+        logits -= logits.max(axis=1, keepdims=True)
+        sums = np.exp(logits, out=more) @ ones
+    return logits, more, sums[:, None]
+
+
+def class_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Natural logarithms of P(class | history) for each position and class."""
+    logits, _, sums = _odds(weights, rows)
+    logits -= np.log(sums)
     return logits
 
 
 def add_gradient(total: np.ndarray, weights: np.ndarray, rows: np.ndarray, kinds: np.ndarray):
     """Adds expected less seen classes to each active feature; the last column counts."""
-    excess = np.empty((len(rows), CLASSES + 1), dtype=np.float32)
-    np.exp(class_scores(weights, rows), out=excess[:, :CLASSES])
+    _, excess, sums = _odds(weights, rows)
+    excess /= sums
     excess[np.arange(len(rows)), kinds] -= 1
-    excess[:, CLASSES] = 1
-    total[FEATURES] += excess.sum(axis=0)
+    values = total[:, :CLASSES]
+    values[FEATURES] += np.ones(len(rows), dtype=np.float32) @ excess
+    total[FEATURES, CLASSES] += len(rows)
     together = np.empty_like(excess)
     for k in range(rows.shape[1]):
         order = np.argsort(rows[:, k].astype(np.uint16), kind="stable")
         own = rows[order, k]
         starts = np.flatnonzero(np.diff(own, prepend=own[:1] + 1))
+        lengths = np.diff(starts, append=len(own))
         np.take(excess, order, axis=0, out=together, mode="clip")
-        total[own[starts]] += np.add.reduceat(together, starts, axis=0)
+        fold_runs(together, starts, lengths)
+        values[own[starts]] += together[starts]
+        total[own[starts], CLASSES] += lengths
+
+
+def fold_runs(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+    """Leaves the sum of each run of rows in its first row: neighbours meet in pairs,
+    pairs in fours and so on, each step for all runs at once."""
+    place = np.arange(len(values)) - np.repeat(starts, lengths)
+    left = np.repeat(lengths, lengths) - place
+    step, here = 1, np.flatnonzero((place & 1 == 0) & (left > 1))
+    while len(here):
+        values[here] = values.take(here, axis=0) + values.take(here + step, axis=0)
+        step *= 2
+        here = here[(place[here] & (2 * step - 1) == 0) & (left[here] > step)]
 
 
 def gradient(texts: list[bytes], weights: np.ndarray, classes: Classes, total: np.ndarray) -> None:
-    words = [tokens(t) for t in texts]
+    """Adds the gradient of the texts' likelihood to ``total``."""
+    words = words_of(texts)
+    coded = words.flatten().dictionary_encode()
     lexicon = Lexicon(classes)
-    lexicon.add(list(set().union(*words)))
-    numbers, at = lexicon.flat(words)
+    lexicon.add(coded.dictionary)
+    numbers, at = _after_starts(words, coded.indices)
     hashes, kinds, _ = lexicon.parts()
     hashed, kinds = hashes[numbers], kinds[numbers]
     for start in range(0, len(at), POSITIONS):
@@ -174,8 +266,16 @@ class Model:
         """n_tokens, n_known, base and model score of each text; its words are in the lexicon."""
         if not texts:
             return []
-        words = [tokens(t) for t in texts]
-        numbers, at = lexicon.flat(words)
+        cut = [*pieces(texts)]
+        places, done, found = lexicon.places(cut), 0, []
+        for words in cut:
+            n = len(words.flatten())
+            found += self._scored(lexicon, words, places.slice(done, n))
+            done += n
+        return found
+
+    def _scored(self, lexicon: Lexicon, words: pa.ListArray, places: pa.Int32Array) -> list[tuple]:
+        numbers, at = _after_starts(words, places)
         hashes, kinds, counts = lexicon.parts()
         hashed, before, counts = hashes[numbers], kinds[numbers], counts[numbers[at]]
         kinds = before[at]
@@ -185,7 +285,7 @@ class Model:
             logs = class_scores(self.weights, features(hashed, before, at[some]))
             score[some] += logs[np.arange(len(logs)), kinds[some]]
         base = np.log10((counts + 1) / (self.tokens + self.words + 1))
-        lengths = np.array([len(w) for w in words])
+        lengths = words.value_lengths().to_numpy()
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         columns = (
             lengths,
@@ -223,35 +323,35 @@ def blocked(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 def block_words(rows: DataFrame) -> DataFrame:
     """Each block's words with their number in its training texts; a word comes again
-    where a block is read by two tasks or has very many words."""
+    where a block is read by two tasks."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, found, unheld = None, Counter(), set()
+        block, words, numbers = None, [], []
 
         def out() -> pa.RecordBatch:
-            words = [*found, *(unheld - found.keys())]
+            coded = pa.concat_arrays(words).dictionary_encode()
+            n = np.zeros(len(coded.dictionary), dtype=np.int64)
+            np.add.at(n, coded.indices.to_numpy(), np.concatenate(numbers))
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block] * len(words), pa.int64()),
-                    pa.array(words, pa.binary()),
-                    pa.array([*found.values(), *[0] * (len(words) - len(found))], pa.int64()),
-                ],
+                [pa.array(np.full(len(n), block)), coded.dictionary, pa.array(n)],
                 names=["block", "word", "n"],
             )
 
         for batch in batches:
-            for own, held, text in zip(
-                batch["block"].to_pylist(),
-                batch["held_out"].to_pylist(),
-                batch["text"].to_pylist(),
-                strict=True,
-            ):
-                if own != block or len(found) + len(unheld) > 500_000:
-                    if found or unheld:
-                        yield out()
-                    block, found, unheld = own, Counter(), set()
-                (unheld if held else found).update(tokens(text))
-        if found or unheld:
+            blocks, held = batch["block"].to_numpy(), batch["held_out"].to_numpy(zero_copy_only=False)
+            for own in dict.fromkeys(blocks.tolist()):
+                if own != block and block is not None:
+                    yield out()
+                    words, numbers = [], []
+                block = own
+                for side in (False, True):
+                    texts = batch["text"].filter(pa.array((held == side) & (blocks == own)))
+                    for piece in pieces(texts.to_pylist()):
+                        coded = piece.flatten().dictionary_encode()
+                        n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+                        words.append(coded.dictionary)
+                        numbers.append(n * 0 if side else n)
+        if block is not None:
             yield out()
 
     return map_batches(rows.select("block", "held_out", "text"), counted, "block long, word binary, n long")
@@ -297,8 +397,8 @@ def _round(rows: DataFrame, weights: np.ndarray, classes: Classes) -> np.ndarray
         for batch in batches:
             texts = batch["text"].to_pylist()
             some = some or bool(texts)
-            if texts:
-                gradient(texts, weights, classes, total)
+            for k in range(0, len(texts), TEXTS):
+                gradient(texts[k : k + TEXTS], weights, classes, total)
         if some:
             shards = np.array_split(total.ravel(), SHARDS)
             yield pa.RecordBatch.from_arrays(
@@ -326,7 +426,7 @@ def fit(rows: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = classes.of_all(batch["word"].to_pylist())
+            kinds = classes.of_all(batch["word"])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(kinds, pa.int32()), batch["n"]], names=["kind", "n"]
             )
@@ -360,10 +460,8 @@ def scored(rows: DataFrame, words: DataFrame, model: Model) -> DataFrame:
 
     def answered(own: pa.Table, texts: pa.Table) -> pa.Table:
         lexicon = Lexicon(model.classes)
-        lexicon.add(own["word"].to_pylist(), own["n"].to_pylist())
-        found = []
-        for start in range(0, len(texts), TEXTS):
-            found += model.score(lexicon, texts["text"].slice(start, TEXTS).to_pylist())
+        lexicon.add(own["word"], own["n"].to_numpy())
+        found = model.score(lexicon, texts["text"].to_pylist())
         tokens_, known_, base, score_ = zip(*found, strict=True) if found else ((),) * 4
         return pa.table(
             {

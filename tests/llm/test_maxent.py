@@ -2,6 +2,7 @@
 
 import math
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -125,3 +126,107 @@ def test_gradients_come_from_few_tasks(spark, monkeypatch):
     counts = spark.createDataFrame([(b"some", 200), (b"words", 200)], "word binary, n long")
     maxent.fit(rows, counts, rounds=2)
     assert len(parts) == 2 and max(parts) <= most
+
+
+def random_texts(n, seed=5):
+    draw = random.Random(seed)
+    parts = [b" ", b"\t\n", b"\x0b\x0c\r", b"A", b"bC", b"the", b"\x85\xa0\xe2\x80\x83", b"\x00\x1c", b"z" * 70, b"q" * 32]
+    return [b"".join(draw.choices(parts, k=draw.randrange(0, 12))) for _ in range(n)] + [b"", b" "]
+
+
+def test_words_are_cut_as_by_split_and_hashed_as_by_zlib():
+    texts = random_texts(300)
+    for some in (texts, [b""], [b"", b"", b"a"]):
+        words = maxent.words_of(some)
+        assert words.to_pylist() == [[*t.lower().split(), b""] for t in some]
+        flat = words.flatten()
+        assert maxent.crc32(flat).tolist() == [zlib.crc32(w) for w in flat.to_pylist()]
+        assert maxent.crc32(flat[1:], 2).tolist() == [zlib.crc32(w[-2:]) for w in flat[1:].to_pylist()]
+
+
+def test_runs_of_rows_are_summed_in_their_first_row():
+    draw = np.random.default_rng(2)
+    lengths = np.array([1, 2, 3, 1, 8, 9, 100, 1])
+    starts = np.cumsum(lengths) - lengths
+    values = draw.integers(-9, 9, (lengths.sum(), 3)).astype(np.float32)
+    want = np.add.reduceat(values, starts, axis=0)
+    maxent.fold_runs(values, starts, lengths)
+    assert (values[starts] == want).all()
+
+
+def test_python_does_nothing_word_by_word():
+    classes = maxent.Classes({b"": 0, b"w7": 1}, np.ones(maxent.CLASSES), np.ones(maxent.CLASSES))
+    weights = np.zeros((maxent.FEATURES + 1, maxent.CLASSES), dtype=np.float32)
+    total = np.zeros((maxent.FEATURES + 1, maxent.CLASSES + 1), dtype=np.float32)
+    texts = [" ".join(f"w{i * k}" for i in range(1000)).encode() for k in range(1, 11)]
+    words = sorted({w for t in texts for w in maxent.tokens(t)})
+    model = maxent.Model(classes, weights, 10, 10)
+
+    def everything():
+        lexicon = maxent.Lexicon(classes)
+        lexicon.add(words, [1] * len(words))
+        model.score(lexicon, texts)
+        maxent.gradient(texts, weights, classes, total)
+
+    everything()
+    calls = 0
+
+    def called(_, event, __):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(called)
+    try:
+        everything()
+    finally:
+        sys.setprofile(None)
+    assert len(words) > 4000 and calls < 2500
+
+
+def slow_score(classes, weights, counts, text):
+    """Natural logarithm of P(text), word by word."""
+    words, mask = [*text.lower().split(), b""], 0xFFFFFFFF
+    history = [(0x5BD1E995, maxent.CLASSES)] * 3
+    result = 0.0
+    for word in words:
+        (_, three), (_, two), (own, one) = history[-3:]
+        base = maxent.CLASSES + 2
+        one, two, three = one + 1, two + 1, three + 1
+        mixed = [
+            own * 0x9E3779B1 + 1 & mask,
+            (one * base + two) * 0x85EBCA77 + 2 & mask,
+            (one * base + three) * 0xC2B2AE3D + 3 & mask,
+            (two * base + three) * 0x27D4EB2F + 4 & mask,
+        ]
+        active = [(x ^ x >> 15) >> 5 & maxent.FEATURES - 1 for x in mixed] + [maxent.FEATURES]
+        logits = [math.fsum(float(weights[f, k]) for f in active) for k in range(maxent.CLASSES)]
+        kind = classes.frequent.get(
+            word, maxent.FREQUENT + zlib.crc32(word[-2:]) % (maxent.CLASSES - maxent.FREQUENT)
+        )
+        top = max(logits)
+        result += logits[kind] - top - math.log(math.fsum(math.exp(x - top) for x in logits))
+        if kind >= len(classes.frequent):
+            result += math.log((counts[word] + 1) / (classes.totals[kind] + classes.words[kind] + 1))
+        history.append((zlib.crc32(word), kind))
+    return result
+
+
+@pytest.mark.parametrize("size", [0.5, 60.0])
+def test_scores_are_those_of_a_slow_model(size):
+    draw = np.random.default_rng(4)
+    texts = random_texts(20, seed=6)
+    counts = Counter(w for t in texts[::2] for w in maxent.tokens(t))
+    top = sorted(counts, key=lambda w: (-counts[w], w))[:3]
+    classes = maxent.Classes(
+        {w: k for k, w in enumerate(top)},
+        draw.integers(5, 99, maxent.CLASSES).astype(float),
+        draw.integers(1, 9, maxent.CLASSES).astype(float),
+    )
+    weights = (size * draw.normal(size=(maxent.FEATURES + 1, maxent.CLASSES))).astype(np.float32)
+    words = sorted({w for t in texts for w in maxent.tokens(t)})
+    lexicon = maxent.Lexicon(classes)
+    lexicon.add(words, [counts[w] for w in words])
+    got = maxent.Model(classes, weights, 50, 20).score(lexicon, texts)
+    want = [slow_score(classes, weights, counts, t) / math.log(10) for t in texts]
+    assert np.allclose([g[3] for g in got], want, rtol=1e-4, atol=1e-4)
+    assert [g[0] for g in got] == [len(maxent.tokens(t)) for t in texts]
