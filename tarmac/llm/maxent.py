@@ -321,9 +321,44 @@ def blocked(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     )
 
 
-def block_words(rows: DataFrame) -> DataFrame:
-    """Each block's words with their number in its training texts; a word comes again
-    where a block is read by two tasks."""
+#: Words and their numbers as blobs: Spark moves rows of many words.
+PACKED = "letters binary, lengths binary, n binary"
+
+
+def packed(words: pa.BinaryArray, n: np.ndarray, bounds: np.ndarray) -> dict[str, pa.Array]:
+    """A row of the words and numbers between each two bounds."""
+    _, offsets, data = _binary(words).buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+
+    def rows(values: np.ndarray | pa.Buffer | None, cuts: np.ndarray) -> pa.Array:
+        values = pa.py_buffer(b"" if values is None else values)
+        cuts = pa.py_buffer(cuts.astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, cuts, values])
+
+    return {
+        "letters": rows(data, offsets[bounds]),
+        "lengths": rows(np.diff(offsets), 4 * bounds),
+        "n": rows(n.astype(np.int64), 8 * bounds),
+    }
+
+
+def unpacked(rows: pa.Table | pa.RecordBatch) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The words of all rows one after another, and their numbers."""
+
+    def joined(name: str) -> np.ndarray:
+        column = _binary(rows[name])
+        _, offsets, data = column.buffers()
+        offsets = np.frombuffer(offsets or bytes(4), dtype=np.int32)[column.offset :]
+        return np.frombuffer(data or b"", dtype=np.uint8)[offsets[0] : offsets[len(column)]]
+
+    lengths = joined("lengths").view(np.int32)
+    buffers = [None, pa.py_buffer(_offsets(lengths)), pa.py_buffer(joined("letters"))]
+    return pa.Array.from_buffers(pa.binary(), len(lengths), buffers), joined("n").view(np.int64)
+
+
+def block_words(rows: DataFrame, buckets: int) -> DataFrame:
+    """Each block's words with their number in its training texts, packed by bucket; a word
+    comes again where a block is read by two tasks."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, words, numbers = None, [], []
@@ -332,9 +367,12 @@ def block_words(rows: DataFrame) -> DataFrame:
             coded = pa.concat_arrays(words).dictionary_encode()
             n = np.zeros(len(coded.dictionary), dtype=np.int64)
             np.add.at(n, coded.indices.to_numpy(), np.concatenate(numbers))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), block)), coded.dictionary, pa.array(n)],
-                names=["block", "word", "n"],
+            bucket = (crc32(coded.dictionary) % np.uint32(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            some, sizes = np.unique(bucket, return_counts=True)
+            columns = packed(coded.dictionary.take(pa.array(order)), n[order], _offsets(sizes))
+            return pa.RecordBatch.from_pydict(
+                {"bucket": pa.array(some), "block": pa.array(np.full(len(some), block)), **columns}
             )
 
         for batch in batches:
@@ -354,18 +392,53 @@ def block_words(rows: DataFrame) -> DataFrame:
         if block is not None:
             yield out()
 
-    return map_batches(rows.select("block", "held_out", "text"), counted, "block long, word binary, n long")
+    return map_batches(
+        rows.select("block", "held_out", "text"), counted, f"bucket long, block long, {PACKED}"
+    )
 
 
 def word_blocks(rows: DataFrame) -> DataFrame:
-    """Each word with its number in the training texts and its blocks, stored: one shuffle
-    serves the counts and their way back to the blocks."""
-    words = block_words(rows).groupBy("word")
+    """Each block's words with their number in all training texts, stored, and besides, without
+    a block, each bucket's words that occur there: one shuffle serves the counts and their way
+    back to the blocks. There are as many buckets as blocks, so that one holds about as many
+    words as a block."""
+
+    def met(group: pa.Table) -> pa.Table:
+        words, n = unpacked(group)
+        coded = words.dictionary_encode()
+        places, total = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), dtype=np.int64)
+        np.add.at(total, places, n)
+        bounds = _offsets(pc.binary_length(group["lengths"]).to_numpy() // 4)
+        back = packed(words, total[places], bounds)
+        learned = np.flatnonzero(total)
+        once = packed(coded.dictionary.take(pa.array(learned)), total[learned], np.array([0, len(learned)]))
+        return pa.concat_tables(
+            [
+                pa.table({"block": group["block"], **back}),
+                pa.table({"block": pa.array([None], pa.int64()), **once}),
+            ]
+        )
+
+    buckets = max(1, rows.select("block").distinct().count())
     return stored(
-        words.agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks")), "word_blocks", "zstd"
+        block_words(rows, buckets).groupBy("bucket").applyInArrow(lambda group: met(group), f"block long, {PACKED}"),
+        "word_blocks",
+        "zstd",
     )
 
 
+def word_counts(words: DataFrame) -> DataFrame:
+    """word and n of all words of the training texts, stored."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, n = unpacked(batch)
+            yield pa.RecordBatch.from_arrays([own, pa.array(n)], names=["word", "n"])
+
+    rows = words.filter("block is null").select("letters", "lengths", "n")
+    return stored(map_batches(rows, listed, "word binary, n long"), "word_counts", "zstd")
+
+
 def summed(partial: DataFrame, parts: int) -> np.ndarray:
     """The sum of gradients that come as rows (part, shard, values), by a tree."""
 
@@ -456,11 +529,11 @@ def fit(rows: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
 def scored(rows: DataFrame, words: DataFrame, model: Model) -> DataFrame:
     """Each block's words with their counts meet its texts; a block is bounded in bytes."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    known = words.select(F.explode("blocks").alias("block"), "word", "n")
+    known = words.filter("block is not null")
 
     def answered(own: pa.Table, texts: pa.Table) -> pa.Table:
         lexicon = Lexicon(model.classes)
-        lexicon.add(own["word"], own["n"].to_numpy())
+        lexicon.add(*unpacked(own))
         found = model.score(lexicon, texts["text"].to_pylist())
         tokens_, known_, base, score_ = zip(*found, strict=True) if found else ((),) * 4
         return pa.table(
@@ -496,4 +569,4 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = BLOCK_BYTES)
     """
     rows = blocked(docs, block_bytes)
     words = word_blocks(rows)
-    return scored(rows, words, fit(rows, words.filter("n > 0").select("word", "n"), rounds))
+    return scored(rows, words, fit(rows, word_counts(words), rounds))

@@ -230,3 +230,24 @@ def test_scores_are_those_of_a_slow_model(size):
     want = [slow_score(classes, weights, counts, t) / math.log(10) for t in texts]
     assert np.allclose([g[3] for g in got], want, rtol=1e-4, atol=1e-4)
     assert [g[0] for g in got] == [len(maxent.tokens(t)) for t in texts]
+
+
+def test_words_move_as_blobs(spark):
+    texts = [(k, f"w{k} w{k % 7} " + " ".join(f"x{i * k % 5000}" for i in range(400))) for k in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(2)
+    rows = maxent.blocked(docs, 8000)
+    blocks = rows.select("block").distinct().count()
+    words = maxent.word_blocks(rows)
+    counts = {bytes(r.word): r.n for r in maxent.word_counts(words).collect()}
+    learned = [maxent.tokens(t.encode()) for k, t in texts if zlib.crc32(str(k).encode()) % 7 != 2]
+    assert counts == Counter(w for t in learned for w in t)
+    assert 2 < blocks and words.count() <= (blocks + 1) * blocks < len(counts)
+
+
+def test_packed_words_come_back():
+    words = [b"", b"a", b"bc" * 40, b"\xff", b"d"]
+    rows = maxent.packed(maxent._binary(words), np.arange(5), np.array([0, 2, 2, 5]))
+    table = maxent.pa.table(rows)
+    for some, want in ((table, words), (table[1:], words[2:]), (table[:1], words[:2]), (table[:0], [])):
+        own, n = maxent.unpacked(some)
+        assert own.to_pylist() == want and n.tolist() == [words.index(w) for w in want]
