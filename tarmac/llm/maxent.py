@@ -11,9 +11,10 @@ see, so all probabilities of a history sum to one.
 Training counts every training token and takes gradient steps over disjoint
 parts of the training texts, all of them together: each task sums its part's
 gradient, the sums meet in a tree, and the driver moves the weights, whose size
-is fixed. Texts are scored in blocks. A block's own words join their counts,
-come back to the block, and are held while its texts are scored; no task holds
-the whole vocabulary.
+is fixed. Texts are scored in blocks. A block's own words meet their counts in
+buckets, come back to the block, and are held while its texts are scored; no
+task holds the whole vocabulary. Words are cut, hashed, numbered and moved many
+at a time, as arrays.
 """
 
 from __future__ import annotations
@@ -39,7 +40,6 @@ ROUNDS, RATE, SMOOTH, LARGEST_STEP = 4, 0.15, 100.0, 1.0
 #: Positions of one product, partial gradients that one task of the tree adds, the
 #: pieces of a gradient, texts cut and scored at a time.
 POSITIONS, FAN_IN, SHARDS, TEXTS = 1 << 12, 32, 16, 250
-END = b""
 #: Letters of a word that are hashed together with those of other words.
 LONG = 32
 _START = 0x5BD1E995
@@ -420,11 +420,8 @@ def word_blocks(rows: DataFrame) -> DataFrame:
         )
 
     buckets = max(1, rows.select("block").distinct().count())
-    return stored(
-        block_words(rows, buckets).groupBy("bucket").applyInArrow(lambda group: met(group), f"block long, {PACKED}"),
-        "word_blocks",
-        "zstd",
-    )
+    words = block_words(rows, buckets).groupBy("bucket").applyInArrow(met, f"block long, {PACKED}")
+    return stored(words, "word_blocks", "zstd")
 
 
 def word_counts(words: DataFrame) -> DataFrame:
