@@ -61,7 +61,9 @@ def corrected_devices(tb: Testbed) -> DataFrame:
 
 
 def mapping(tb: Testbed) -> DataFrame:
-    return build_policy_device_mapping(tb.devices(), tb.user_imei(), tb.mi_exposure(), run_ts())
+    return build_policy_device_mapping(
+        tb.devices(), tb.user_imei(), tb.mi_exposure(), run_ts(), tb.many_lines()
+    )
 
 
 @query("src_table_scan", select("o_orderkey, o_custkey, o_orderstatus, r:o_totalprice, t:o_orderdate, o_orderpriority", "orders"))

@@ -10,6 +10,7 @@ from tarmac.operators.joins import left_join_many
 from tarmac.operators.latest import keep_latest
 from tarmac.operators.quality import counted
 from tarmac.schemas import EXPOSURE_RENAMES, MAPPING_COLUMNS
+from tarmac.sources.session import PLACE, fetch_by_place, freeze_placed, lean
 from tarmac.sources.tables import rename_known
 
 EXPOSURE_KEYS = ("policy_number", "lob_asset_id", "effective_year_month")
@@ -98,17 +99,43 @@ def exposure_with_devices(exposure: DataFrame, devices: DataFrame) -> DataFrame:
     return left_join_many(exposure, installed, "lob_asset_id", "device_item_no")
 
 
+def latest_with_devices(exposure: DataFrame, devices: DataFrame) -> DataFrame:
+    return exposure_with_devices(latest_exposure(exposure), devices)
+
+
+def latest_with_devices_by_place(exposure: DataFrame, devices: DataFrame) -> DataFrame:
+    """The rows of ``latest_with_devices`` in the columns of the mapping, stored.
+
+    The exposure is stored once. Keys, what decides between rows and the rows'
+    places go through the shuffles; the whole rows are not shuffled any more.
+    """
+    decide = [c for c in ("policy_version_number", *EXPOSURE_TIE_BREAKS) if c in exposure.columns]
+    output = [RENAMED_IN_OUTPUT.get(c, c) for c in MAPPING_COLUMNS[:-1] if c not in FROM_DEVICES]
+    whole = dict.fromkeys([*EXPOSURE_KEYS, *decide, *output])
+    rows = freeze_placed(exposure.select(*whole), "exposure")
+    latest = latest_exposure(rows.select(*EXPOSURE_KEYS, *decide, *PLACE))
+    with lean(exposure.sparkSession):
+        found = exposure_with_devices(latest.select("lob_asset_id", *PLACE), devices)
+    return fetch_by_place(rows, found.select(*PLACE, *FROM_DEVICES), "mapping")
+
+
 def build_policy_device_mapping(
-    devices: DataFrame, user_imei: DataFrame, exposure: DataFrame, run_ts: Column
+    devices: DataFrame,
+    user_imei: DataFrame,
+    exposure: DataFrame,
+    run_ts: Column,
+    by_place: bool = False,
 ) -> DataFrame:
     """Latest exposure rows with corrected install times, one column list.
 
     ``run_ts`` is the time of the run; the same value lands in every row no
-    matter how often the plan is executed.
+    matter how often the plan is executed. ``by_place`` is for exposures whose
+    shuffled rows would fill the disks: these are stored before they are ranked.
     """
-    latest = latest_exposure(with_policy_features(renamed_exposure(exposure)))
+    featured = with_policy_features(renamed_exposure(exposure))
     corrected = with_corrected_installation(latest_devices(devices), first_detections(user_imei))
-    joined = exposure_with_devices(latest, corrected)
+    join = latest_with_devices_by_place if by_place else latest_with_devices
+    joined = join(featured, corrected)
     columns = {name: F.col(RENAMED_IN_OUTPUT.get(name, name)) for name in MAPPING_COLUMNS[:-1]}
     columns["inserted_timestamp"] = run_ts
     return joined.select(*[columns[name].alias(name) for name in MAPPING_COLUMNS])

@@ -143,6 +143,45 @@ def test_exposure_without_device_is_kept(spark):
         assert row.installation_datetime is None and row.imei_first_detection_datetime is None
 
 
+def odd_mapping_input(spark):
+    """Devices, users and exposure with missing keys, equal versions, equal rows and a hot item."""
+    def some(text, kinds, missing=11):
+        drawn = F.pmod(F.xxhash64("id", F.lit(text)), F.lit(kinds)).cast("string")
+        return F.when(F.col("id") % missing != 0, F.concat(F.lit(text), drawn))
+
+    schema = spark.createDataFrame([], EXPOSURE_DDL).schema
+    item = F.when(F.col("id") % 3 == 0, "hot").otherwise(some("item", 20, 7))
+    known = {
+        "PolicyNo": F.concat(some("MOT-", 9), F.lit("/"), (F.col("id") % 4).cast("string")),
+        "PolicyNumber": some("p", 9, 13),
+        "LOB_ASSET_ID": item,
+        "EffectiveYearMonth": some("20240", 2),
+        "CoverPremium": (F.col("id") % 5).cast("double"),
+        "ItemNo": some("raw", 40),
+        "ItemDescription": some("raw", 40),
+    }
+    rows = spark.range(600).select(
+        *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
+    day = F.timestamp_seconds(F.lit(1700000000) + F.col("id") * 3600)
+    devices = spark.range(300).select(
+        some("p", 60, 13).alias("policy_number"), item.alias("item_no"), day.alias("inserted_datetime"),
+        some("imei", 30).alias("imei_number"), F.when(F.col("id") % 5 > 0, day).alias("installation_datetime"),
+    )
+    users = spark.range(40).select(some("imei", 30).alias("imei_number"), day.alias("retrieved_datetime"))
+    return devices, users, rows.union(rows.limit(50)).repartition(6)
+
+
+def test_mapping_by_place_gives_the_same_rows(spark):
+    tables = odd_mapping_input(spark)
+    want = build_policy_device_mapping(*tables, run_time())
+    got = build_policy_device_mapping(*tables, run_time(), by_place=True)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    want, got = (sorted(map(str, df.collect())) for df in (want, got))
+    assert got == want
+    assert sum("item_no='hot'" in row for row in got) > 33 and len(got) > 600
+
+
 def test_left_join_many_equals_left_join(spark):
     left = spark.createDataFrame([(k, i) for i, k in enumerate("aaabbcd")] + [(None, 9)], "k string, i int")
     right = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("e", 4), (None, 5)], "rk string, v int")

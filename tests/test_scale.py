@@ -2,6 +2,8 @@
 
 import contextlib
 import io
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -18,7 +20,16 @@ from tarmac.operators.trips import driver_sums, month_and_history, trips_of_mont
 from tarmac.plans.cohort import from_month
 from tarmac.schemas import TRIP_MEASURES
 from tarmac.sources import session
-from tarmac.sources.session import adaptive, freeze, scratch
+from tarmac.sources.session import (
+    IN_PLACE,
+    PLACE,
+    adaptive,
+    fetch_by_place,
+    freeze,
+    freeze_placed,
+    lean,
+    scratch,
+)
 from tarmac.sources.tables import (
     insert_only_merge,
     overwrite,
@@ -186,6 +197,46 @@ def test_mapping_reads_exposure_once(spark):
     assert len(scans) == 1
 
 
+def test_large_mapping_moves_no_whole_rows(spark, monkeypatch):
+    """Beyond MANY_LINES nothing is left to shuffle when the mapping is written."""
+    want = sorted(map(str, registered(spark, "mapping_full").collect()))
+    monkeypatch.setattr(testbed, "MANY_LINES", 1000)
+    mapping = registered(spark, "mapping_full")
+    assert "Exchange" not in plan(mapping, "simple")
+    assert sorted(map(str, mapping.collect())) == want
+
+
+def test_rows_are_fetched_by_place_where_they_are(spark):
+    tables = len(spark.catalog.listTables())
+    rows = spark.range(3000).withColumn("wide", F.md5(F.col("id").cast("string")))
+    stored = freeze_placed(rows.repartition(5))
+    chosen = freeze(stored.filter("id % 3 = 0").select(*PLACE, (F.col("id") + 1).alias("next")))
+    with lean(spark, IN_PLACE), settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(stored.join(chosen.hint("shuffle_hash"), list(PLACE)), "simple")
+    got = sorted((r.id, r.wide, r.next) for r in fetch_by_place(stored, chosen).collect())
+    assert text.count("Exchange") == 1
+    assert text.index("wide") < text.index("Exchange") and "wide" not in text[text.index("Exchange") :]
+    assert got == sorted((r.id, r.wide, r.id + 1) for r in rows.collect() if r.id % 3 == 0)
+    assert len(spark.catalog.listTables()) == tables
+
+
+def test_shuffle_files_go_when_a_lean_copy_is_written(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for d in folders for f in Path(d).rglob("shuffle_*")}
+
+    before = files()
+    with lean(spark):
+        freeze(spark.range(1000).repartition(4, "id"))
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    freeze(spark.range(1000).repartition(4, "id"))
+    assert files() - before
+
+
 @pytest.fixture(scope="module")
 def stored_exposure(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("exposure") / "e")
