@@ -142,7 +142,11 @@ def build_policy_device_mapping(
 
 
 def mapping_with_metrics(
-    devices: DataFrame, user_imei: DataFrame, exposure: DataFrame, run_ts: Column
+    devices: DataFrame,
+    user_imei: DataFrame,
+    exposure: DataFrame,
+    run_ts: Column,
+    by_place: bool = False,
 ) -> tuple[DataFrame, dict]:
     """The mapping and row counters that fill while it is written."""
     counters = {}
@@ -150,7 +154,7 @@ def mapping_with_metrics(
     for name, df in (("devices", devices), ("user_imei", user_imei), ("exposure", exposure)):
         tables[name], counters[name] = counted(df, f"{name}_rows")
     mapping = build_policy_device_mapping(
-        tables["devices"], tables["user_imei"], tables["exposure"], run_ts
+        tables["devices"], tables["user_imei"], tables["exposure"], run_ts, by_place
     )
     mapping, counters["mapping"] = counted(mapping, "mapping_rows")
     return mapping, counters

@@ -11,6 +11,7 @@ from tarmac.plans.mapping import (
     first_detections,
     latest_devices,
     latest_exposure,
+    mapping_with_metrics,
     with_corrected_installation,
     with_policy_features,
 )
@@ -182,6 +183,16 @@ def test_mapping_by_place_gives_the_same_rows(spark):
     assert sum("item_no='hot'" in row for row in got) > 33 and len(got) > 600
 
 
+def test_counters_fill_by_place(spark, tmp_path):
+    devices, users, exposure = odd_mapping_input(spark)
+    written, counters = mapping_with_metrics(devices, users, exposure, run_time(), by_place=True)
+    written.write.parquet(str(tmp_path / "m"))
+    rows = spark.read.parquet(str(tmp_path / "m")).count()
+    assert {name: counter.get["row_count"] for name, counter in counters.items()} == {
+        "devices": 300, "user_imei": 40, "exposure": 650, "mapping": rows,
+    }
+
+
 def test_left_join_many_equals_left_join(spark):
     left = spark.createDataFrame([(k, i) for i, k in enumerate("aaabbcd")] + [(None, 9)], "k string, i int")
     right = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("e", 4), (None, 5)], "rk string, v int")
